@@ -1,4 +1,4 @@
-"""Two hints that shape the plan without changing any value."""
+"""Ways of writing an expression that shape its plan or code, never its value."""
 
 from __future__ import annotations
 
@@ -19,6 +19,12 @@ def evaluate_once(value: Column) -> Column:
     return F.when(F.spark_partition_id() >= 0, value)
 
 
+def any_of(conditions: list[Column]) -> Column:
+    """True if one condition is. Unlike a chain of ORs, the code of ``greatest``
+    is split into small methods, and NULL conditions are passed over."""
+    return F.greatest(*conditions) if len(conditions) > 1 else conditions[0]
+
+
 def seldom(value: Column, convert: Callable[[Column], Column]) -> Column:
     """``convert(value)``, kept out of the generated code of the hot path.
 

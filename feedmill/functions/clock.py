@@ -129,32 +129,42 @@ def iso_wall_clock(raw: Column) -> Column:
 
     The clock reading is kept as written; text with an offset is moved to UTC.
     """
-    matches, day_text, clock_text, offset_text = _parts(raw, loose=False)
-    wall = _wall_micros(day_text, clock_text, loose=False)
-    shift = F.when(offset_text == "", F.lit(0)).otherwise(_offset_minutes(offset_text))
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    exact = F.when(matches, wall - shift.cast("long") * 60000000)
-    # Adding an interval keeps the value zone free from end to end.
-    return epoch + F.make_dt_interval(
-        F.floor(exact / 86400000000).cast("int"),
-        F.lit(0),
-        F.lit(0),
-        (F.pmod(exact, F.lit(86400000000)) / F.lit(1000000).cast("decimal(10,0)")).cast("decimal(18,6)"),
-    )
+
+    def general(text: Column) -> Column:
+        matches, day_text, clock_text, offset_text = _parts(text, loose=False)
+        wall = _wall_micros(day_text, clock_text, loose=False)
+        shift = F.when(offset_text == "", F.lit(0)).otherwise(_offset_minutes(offset_text))
+        exact = F.when(matches, wall - shift.cast("long") * 60000000)
+        day = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(exact / 86400000000).cast("int"))
+        seconds = F.pmod(exact, F.lit(86400000000)).cast("decimal(18,0)") / F.lit(1000000)
+        # Adding an interval keeps the value zone free from end to end.
+        return day.cast("timestamp_ntz") + F.make_dt_interval(
+            F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)")
+        )
+
+    return F.when(raw.rlike(_COMMON_NAIVE), raw.try_cast("timestamp_ntz")).otherwise(seldom(raw, general))
 
 
 def iso_date(raw: Column) -> Column:
     """A bare ISO date; NULL for anything else."""
-    return F.when(raw.rlike(rf"^({_DAY})$"), _day(raw))
+    other = seldom(raw, lambda text: F.when(text.rlike(rf"^({_DAY})$"), _day(text)))
+    plain = raw.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$") & ~raw.startswith("0000")
+    return F.when(plain, raw.try_cast("date")).otherwise(other)
 
 
 def millis_of_day(raw: Column) -> Column:
     """ISO clock text to whole-second milliseconds since midnight; NULL if invalid."""
-    pattern = rf"^T?({_CLOCK})({_OFFSET})?$"
-    clock_text, offset_text = (F.regexp_extract(raw, pattern, n) for n in (1, 2))
-    micros = _micros_of_day(clock_text, allow_24=False)
-    good = raw.rlike(pattern) & ((offset_text == "") | _offset_minutes(offset_text).isNotNull())
-    return F.when(good, (F.floor(micros / 1000000) * 1000).cast("int"))
+
+    def general(text: Column) -> Column:
+        pattern = rf"^T?({_CLOCK})({_OFFSET})?$"
+        clock_text, offset_text = (F.regexp_extract(text, pattern, n) for n in (1, 2))
+        micros = _micros_of_day(clock_text, allow_24=False)
+        good = text.rlike(pattern) & ((offset_text == "") | _offset_minutes(offset_text).isNotNull())
+        return F.when(good, (F.floor(micros / 1000000) * 1000).cast("int"))
+
+    hour, minute, second = (_number(F.substring(raw, at, 2)) for at in (1, 4, 7))
+    plain = raw.rlike(r"^([01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9](\.[0-9]+)?$")
+    return F.when(plain, ((hour * 60 + minute) * 60 + second) * 1000).otherwise(seldom(raw, general))
 
 
 # yyyy-mm-dd hh:mm:ss where every part after the year may drop its leading zero.

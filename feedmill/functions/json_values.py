@@ -7,10 +7,12 @@ functions below turn leaves into typed columns. All of it runs in the JVM.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from feedmill.functions.barrier import seldom
+from feedmill.functions.barrier import any_of
 
 # Closes the array each line is wrapped in. A line that smuggles in its own
 # bracket, or holds several documents, does not leave exactly two elements
@@ -97,22 +99,48 @@ def real_from_text(raw: Column) -> Column:
     )
 
 
-def real(value: Column) -> Column:
-    """Tolerant float: numbers, booleans and numeric text; NULL otherwise."""
+def _odd_real(value: Column) -> Column:
     number = F.try_variant_get(value, "$", "double")
-    return F.when(is_text(value), seldom(text(value), real_from_text)).otherwise(number)
+    return F.when(is_text(value), real_from_text(text(value))).otherwise(number)
+
+
+def _odd_whole(value: Column) -> Column:
+    number = F.nanvl(F.try_variant_get(value, "$", "double"), F.lit(None).cast("double"))
+    return F.when(is_text(value), whole_from_text(text(value))).otherwise(number)
+
+
+def plain_number(value: Column) -> Column:
+    """The value as a double if it is a JSON number, else NULL.
+
+    Read from its JSON text: casting a VARIANT decimal to double sets up a new
+    cast for every value, which costs several times more.
+    """
+    return F.to_json(value).try_cast("double")
 
 
-def whole(value: Column) -> Column:
-    """Tolerant int before truncation, held in a double.
+def holds_odd_number(values: list[Column]) -> Column:
+    """True if a value is there that ``plain_number`` cannot read."""
+    return any_of([plain_number(value).isNull() & ~is_absent(value) for value in values])
+
+
+def _mended(plain: Column, odd: Column, values: list[Column], convert: Callable[[Column], Column]) -> Column:
+    filled = F.zip_with(plain, F.array(*values), lambda number, value: F.coalesce(number, convert(value)))
+    return F.when(odd, filled).otherwise(plain)
+
+
+def reals(plain: Column, odd: Column, values: list[Column]) -> Column:
+    """Tolerant floats: where ``odd``, ``plain`` completed with booleans and numeric text."""
+    return _mended(plain, odd, values, _odd_real)
+
+
+def wholes(plain: Column, odd: Column, values: list[Column]) -> Column:
+    """Tolerant ints before truncation, held as doubles: ``plain`` completed likewise.
 
     Text must be plain digits. NaN has no integer, so it gives NULL. The caller
     checks the range with ``outside_int32`` and then casts to int, which
     truncates toward zero; doubles hold every int32 exactly.
     """
-    number = F.try_variant_get(value, "$", "double")
-    plain = F.nanvl(number, F.lit(None).cast("double"))
-    return F.when(is_text(value), seldom(text(value), whole_from_text)).otherwise(plain)
+    return _mended(plain, odd, values, _odd_whole)
 
 
 def outside_int32(held: Column) -> Column:

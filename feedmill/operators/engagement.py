@@ -91,7 +91,11 @@ def validate(lines: DataFrame, value: str = "value", zone: str = "UTC", on_crash
     records = documents.select(
         *keep, "_doc", F.try_variant_get(F.col("_doc"), "$", f"struct<{shape}>").alias("_rec")
     )
-    typed = records.select(
+    seconds = [_leaf(_SECONDS)]
+    numbers = records.withColumns(
+        {"_plain": F.array(jv.plain_number(seconds[0])), "_odd": jv.holds_odd_number(seconds)}
+    )
+    typed = numbers.select(
         *keep,
         "_doc",
         "_rec",
@@ -99,7 +103,9 @@ def validate(lines: DataFrame, value: str = "value", zone: str = "UTC", on_crash
         F.when(
             jv.is_text(_leaf("Timestamp")), clock.stamp_instant(jv.text(_leaf("Timestamp")), zone)
         ).alias("Timestamp_unix"),
-        F.when(_leaf(_SECONDS).isNull(), 0.0).otherwise(jv.whole(_leaf(_SECONDS))).alias("_seconds"),
+        F.when(_leaf(_SECONDS).isNull(), 0.0)
+        .otherwise(F.get(jv.wholes(F.col("_plain"), F.col("_odd"), seconds), F.lit(0)))
+        .alias("_seconds"),
         *[jv.truthy(_leaf(key)).alias(key) for key in _CLICKS],
     )
     reason = (

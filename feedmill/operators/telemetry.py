@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from feedmill.functions import clock, metrics
 from feedmill.functions import json_values as jv
-from feedmill.functions.barrier import evaluate_once
+from feedmill.functions.barrier import any_of, evaluate_once
 from feedmill.schemas import DERIVED_COLUMNS, TELEMETRY_FIELDS, Field
 
 BATCH, STREAM, UNROUTED = "batch", "stream", "unrouted"
@@ -70,7 +70,6 @@ def _containers(node: dict, prefix: tuple[str, ...] = ()) -> list[tuple[str, ...
 
 
 _OPTIONAL_PARTS = [path for path in _containers(_TREE) if path != (_GPS,)]
-_DIAGNOSTIC_LEAVES = [f.path for f in TELEMETRY_FIELDS if f.path[0] == _DIAGNOSTIC]
 _BY_TYPE = {t: [f for f in TELEMETRY_FIELDS if f.type == t] for t in ("string", "time", "whole", "real")}
 
 
@@ -83,15 +82,11 @@ def _variant_at(path: tuple[str, ...]) -> Column:
     return F.try_variant_get(F.col("_doc"), f"${steps}", "variant")
 
 
-def _any(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions)
-
-
 def _route() -> Column:
     """Which job a row belongs to, from its diagnostic part alone."""
     part = _at((_DIAGNOSTIC,))
     whole = _variant_at((_DIAGNOSTIC,))
-    has_known_leaf = part.isNotNull() & _any([_at(path).isNotNull() for path in _DIAGNOSTIC_LEAVES])
+    has_known_leaf = part.isNotNull() & any_of([part[key].isNotNull() for key in _TREE[_DIAGNOSTIC]])
     # The cheap test settles nearly all rows; the rest look at the value itself.
     return F.when(
         F.col("_rec").isNotNull(),
@@ -104,7 +99,7 @@ def _route() -> Column:
 
 def _bad_container() -> Column:
     """An optional part that is neither an object nor a false-like value."""
-    some_missing = _any([_at(path).isNull() for path in _OPTIONAL_PARTS])
+    some_missing = any_of([_at(path).isNull() for path in _OPTIONAL_PARTS])
     # An object always gives a struct, so only parts without one can be truthy here.
     odd = F.exists(
         F.array(*[F.when(_at(path).isNull(), _variant_at(path)) for path in _OPTIONAL_PARTS]), jv.truthy
@@ -142,43 +137,56 @@ def flatten(lines: DataFrame, value: str = "value", zone: str = "UTC") -> DataFr
     shape = (
         F.when(F.col("_doc").isNull(), "json")
         .when(F.col("_rec").isNull(), "not_object")
-        .when(F.col("route") == UNROUTED, "unrouted")
         .when(_bad_container(), "bad_container")
         .when(_no_position(), "gps")
     )
-    time_leaf = _at(_BY_TYPE["time"][0].path)
-    routed = records.select(
-        *keep, "_doc", "_rec", _route().alias("route"), F.when(jv.is_text(time_leaf), jv.text(time_leaf)).alias("_time")
-    )
-    held = routed.select(
+    time_leaf, time_name = _at(_BY_TYPE["time"][0].path), _BY_TYPE["time"][0].name
+    leaves = {t: [_at(f.path) for f in _BY_TYPE[t]] for t in ("whole", "real", "string")}
+    held = records.select(
         *keep,
-        "route",
+        "_doc",
+        _route().alias("route"),
         shape.alias("_shape"),
-        _any([jv.not_text(_at(f.path)) for f in _BY_TYPE["string"]]).alias("_wrong_text"),
-        F.array(*[jv.whole(_at(f.path)) for f in _BY_TYPE["whole"]]).alias("_wholes"),
-        F.array(*[jv.real(_at(f.path)) for f in _BY_TYPE["real"]]).alias("_reals"),
+        any_of([jv.not_text(leaf) for leaf in leaves["string"]]).alias("_wrong_text"),
+        *[F.array(*[jv.plain_number(leaf) for leaf in leaves[t]]).alias(f"_{t}s") for t in ("whole", "real")],
+        *[jv.holds_odd_number(leaves[t]).alias(f"_odd_{t}s") for t in ("whole", "real")],
         *[jv.text(_at(f.path)).alias(f.name) for f in _BY_TYPE["string"]],
-        F.date_trunc("MILLISECOND", clock.iso_instant(F.col("_time"), zone)).alias(_BY_TYPE["time"][0].name),
+        F.when(~jv.not_text(time_leaf), jv.text(time_leaf)).alias(time_name),
     )
 
-    wholes, reals = F.col("_wholes"), F.col("_reals")
-    # NaN sorts above infinity and may hide one, so it only opens the full look.
-    unbounded = ((F.array_max(reals) >= _INF) | (F.array_min(reals) == -_INF)) & F.exists(
-        reals, lambda r: F.abs(r) == _INF
+    # The many-field record stops here. The few rows with text or a boolean in a
+    # number's place go back to the document for it.
+    again = {t: [_variant_at(f.path) for f in _BY_TYPE[t]] for t in ("whole", "real")}
+    mended = held.select(
+        *keep,
+        "route",
+        "_shape",
+        "_wrong_text",
+        jv.wholes(F.col("_wholes"), F.col("_odd_wholes"), again["whole"]).alias("_wholes"),
+        jv.reals(F.col("_reals"), F.col("_odd_reals"), again["real"]).alias("_reals"),
+        *[f.name for f in _BY_TYPE["string"]],
+        F.date_trunc("MILLISECOND", clock.iso_instant(F.col(time_name), zone)).alias(time_name),
     )
+
+    wholes, reals = F.col("_wholes"), F.col("_reals")
+    high, low = F.array_max(wholes), F.array_min(wholes)
+    # NaN sorts above infinity, so it also sends a row to the look at its line.
+    unbounded = (F.array_max(reals) >= _INF) | (F.array_min(reals) == -_INF)
     typed_columns = {f.name: F.col(f.name) for f in TELEMETRY_FIELDS}
     for n, f in enumerate(_BY_TYPE["whole"]):
         typed_columns[f.name] = F.get(wholes, F.lit(n)).try_cast("int").alias(f.name)
     for n, f in enumerate(_BY_TYPE["real"]):
         typed_columns[f.name] = F.get(reals, F.lit(n)).alias(f.name)
-    typed = held.select(
+    typed = mended.select(
         *keep,
         "route",
-        F.when(F.col("_shape").isNotNull(), F.col("_shape"))
-        .when((F.array_max(wholes) == _INF) | (F.array_min(wholes) == -_INF), "non_finite_int")
+        F.when(F.col("_shape").isin("json", "not_object"), F.col("_shape"))
+        .when(F.col("route") == UNROUTED, "unrouted")
+        .when(F.col("_shape").isNotNull(), F.col("_shape"))
+        .when((high == _INF) | (low == -_INF), "non_finite_int")
         .when(unbounded & F.col("line").rlike(_HUGE_INTEGER), "non_finite_int")
         .alias("_before"),
-        F.when(jv.outside_int32(F.array_max(wholes)) | jv.outside_int32(F.array_min(wholes)), "int_range")
+        F.when(jv.outside_int32(high) | jv.outside_int32(low), "int_range")
         .when(F.col("_wrong_text"), "string_type")
         .alias("_after"),
         *typed_columns.values(),

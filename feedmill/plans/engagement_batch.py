@@ -51,7 +51,7 @@ def main() -> None:
     parser.add_argument("--shards", type=int)
     parser.add_argument("--manifest_path", help="append the completion message to this Parquet folder")
     parser.add_argument("--bootstrap_servers", help="send the completion message to these brokers")
-    parser.add_argument("--topic", default="hrl-fan-engagement")
+    parser.add_argument("--topic", default="fan-engagement")
     args = parser.parse_args()
     spark = SparkSession.builder.appName("engagement-batch").getOrCreate()
     outcome = run(
@@ -67,7 +67,7 @@ def main() -> None:
         if rows:
             print(f"{name}: {rows}")
     done = manifest(
-        spark, [Output("FanEngagement", None, args.output_path, "deflate", "avro")], "hrl_fan_engagement_etl"
+        spark, [Output("FanEngagement", None, args.output_path, "deflate", "avro")], "engagement-batch"
     )
     if args.manifest_path:
         write_parquet(done, args.manifest_path, mode="append")

@@ -54,7 +54,7 @@ def count_output(spark: SparkSession, output_path: str) -> int | None:
 
 
 def run_manifest(spark: SparkSession, output_path: str, codec: str = "GZIP") -> DataFrame:
-    return manifest(spark, [Output("VehicleTelemetry", telemetry.BATCH, output_path, codec)], "feedmill")
+    return manifest(spark, [Output("VehicleTelemetry", telemetry.BATCH, output_path, codec)], "telemetry-batch")
 
 
 def main() -> None:

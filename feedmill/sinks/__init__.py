@@ -53,9 +53,17 @@ def write_avro(
     return path
 
 
+# Nulls are written out, and clock values keep their microseconds.
+_JSON_OPTIONS = {
+    "ignoreNullFields": "false",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
 def json_text(df: DataFrame) -> Column:
-    """Each row as one JSON object, nulls included."""
-    return F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"})
+    """Each row as one JSON object."""
+    return F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), _JSON_OPTIONS)
 
 
 def write_json_lines(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
