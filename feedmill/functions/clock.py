@@ -8,12 +8,15 @@ from pyspark.sql import functions as F
 from feedmill.functions.barrier import seldom
 
 # The everyday shapes, which Spark's own cast reads directly.
-_COMMON = r"[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-2][0-9]:[0-5][0-9]:[0-5][0-9](\.[0-9]{1,6})?"
+_COMMON = r"(?!0000)[0-9]{4}-[0-9]{2}-[0-9]{2}[T ]([01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9](\.[0-9]{1,6})?"
 _COMMON_ZONED = rf"^{_COMMON}(Z|[+-](0[0-9]|1[0-7]):[0-5][0-9])$"
 _COMMON_NAIVE = rf"^{_COMMON}$"
 
-_DAY = r"[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{8}|[0-9]{4}-W[0-9]{2}(?:-[0-9])?|[0-9]{4}W[0-9]{2}[0-9]?"
-_DAY_LOOSE = _DAY + r"|[0-9]{4}-?[0-9]{3}|[0-9]{4}-[0-9]{2}(?=$)|[0-9]{4}(?=$)"
+_FULL_DAY = r"[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{8}|[0-9]{4}-W[0-9]{2}-[0-9]|[0-9]{4}W[0-9]{3}"
+_WEEK = r"[0-9]{4}-?W[0-9]{2}"
+_DAY = rf"{_FULL_DAY}|{_WEEK}"
+# Shortened days stand alone here: no clock may follow them.
+_DAY_LOOSE = rf"{_FULL_DAY}|[0-9]{{4}}-?[0-9]{{3}}|(?:{_WEEK}|[0-9]{{4}}-[0-9]{{2}}|[0-9]{{4}})(?=$)"
 _CLOCK = (
     r"[0-9]{2}(?::[0-9]{2}(?::[0-9]{2}(?:[.,][0-9]+)?)?)?"
     r"|[0-9]{4}(?:[0-9]{2}(?:[.,][0-9]+)?)?"
@@ -83,8 +86,11 @@ def _offset_minutes(offset: Column) -> Column:
 
 
 def _parts(raw: Column, loose: bool) -> tuple[Column, Column, Column, Column]:
-    day = _DAY_LOOSE if loose else _DAY
-    pattern = rf"^({day})(?:[\s\S]({_CLOCK})({_OFFSET})?)?$"
+    if loose:
+        # An offset may follow the separator directly.
+        pattern = rf"^({_DAY_LOOSE})(?:[\s\S](?:({_CLOCK})(?={_OFFSET}|$)|(?=[+-]))({_OFFSET})?)?$"
+    else:
+        pattern = rf"^({_DAY})(?:[\s\S]({_CLOCK})({_OFFSET})?)?$"
     day_text, clock_text, offset_text = (F.regexp_extract(raw, pattern, n) for n in (1, 2, 3))
     return raw.rlike(pattern), day_text, clock_text, offset_text
 
