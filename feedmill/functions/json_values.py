@@ -41,8 +41,8 @@ def parse_document(line: Column) -> Column:
 
 def is_single_document(parsed: Column) -> Column:
     """True when the line was exactly one JSON document."""
-    last = F.try_variant_get(F.get(parsed, F.lit(1)), "$", "string")
-    return F.coalesce((F.size(parsed) == 2) & (last == _END), F.lit(False))
+    last = F.to_json(F.get(parsed, F.lit(1)))
+    return F.coalesce((F.size(parsed) == 2) & (last == f'"{_END}"'), F.lit(False))
 
 
 def document(parsed: Column) -> Column:
@@ -66,7 +66,12 @@ def truthy(value: Column) -> Column:
 
 def text(value: Column) -> Column:
     """The value as text; NULL when missing or null."""
-    return F.try_variant_get(value, "$", "string")
+    # Taking the quotes off the JSON text is cheaper than a VARIANT cast.
+    written = F.to_json(value)
+    unescaped = written.startswith('"') & ~written.contains("\\")
+    return F.when(unescaped, F.substring(written, F.lit(2), F.length(written) - 2)).otherwise(
+        F.try_variant_get(value, "$", "string")
+    )
 
 
 def is_text(value: Column) -> Column:
@@ -75,7 +80,11 @@ def is_text(value: Column) -> Column:
 
 def not_text(value: Column) -> Column:
     """Present, not null, and not a JSON string."""
-    return F.coalesce(~kind(value).isin("STRING", "VOID"), F.lit(False))
+    written = F.to_json(value)
+    # NaN and the infinities are written quoted, though they are numbers.
+    spelled = written.isin('"NaN"', '"Infinity"', '"-Infinity"')
+    quoted = written.startswith('"') & (~spelled | is_text(value))
+    return F.coalesce((written != "null") & ~quoted, F.lit(False))
 
 
 def _plain(raw: Column) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from feedmill.operators import engagement
 from feedmill.operators.quality import Output, manifest
+from feedmill.plans import land
 from feedmill.schemas import ENGAGEMENT_AVRO
 from feedmill.session import prepare
 from feedmill.sinks import write_avro, write_kafka, write_parquet
@@ -26,19 +27,22 @@ def run(
     shards: int | None = None,
     mode: str = "errorifexists",
 ) -> dict[str, int]:
-    """Write the valid rows as Avro and, if a folder is given, the rejects as Parquet."""
+    """Write the valid rows as Avro and, if a folder is given, the rejects as Parquet.
+
+    Gives the lines seen and the rows per outcome; every line is parsed once.
+    """
     prepare(spark)
     rows = engagement.validate(read_lines(spark, input_path, with_source=True), zone=zone, on_crash=on_crash)
     seen = Observation()
     counts = [F.count_if(F.col("reason") == r).alias(r) for r in engagement.REASONS]
-    watched = rows.observe(
+    rows = rows.observe(
         seen, F.count("*").alias("lines"), F.count_if(F.col("reason").isNull()).alias("valid"), *counts
     )
-    write_avro(engagement.accepted(watched), output_path, ENGAGEMENT_AVRO, codec, shards, mode)
-    outcome = seen.get
-    if rejects_path is not None and any(outcome[r] for r in engagement.REASONS):
+    if rejects_path is not None:
+        rows = land(spark, rows, "engagement-judged")
         write_parquet(engagement.rejected(rows), rejects_path, mode=mode)
-    return outcome
+    write_avro(engagement.accepted(rows), output_path, ENGAGEMENT_AVRO, codec, shards, mode)
+    return seen.get
 
 
 def main() -> None:

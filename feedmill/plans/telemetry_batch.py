@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from feedmill.operators import telemetry
 from feedmill.operators.quality import Output, manifest
+from feedmill.plans import land
 from feedmill.session import prepare
 from feedmill.sinks import write_parquet
 from feedmill.sources import read_lines, read_parquet
@@ -27,20 +28,21 @@ def run(
 ) -> dict[str, int]:
     """Write the batch route, and the rejects if a folder is given for them.
 
-    Counts per outcome ride along with the main write, so a feed without
-    rejects is read once; only a feed that has some is read again for them.
+    Gives the lines seen and the rows per outcome, counted during the write.
+    Either way every line is parsed once.
     """
     prepare(spark)
     rows = telemetry.flatten(read_lines(spark, input_path, with_source=True), zone=zone)
     seen = Observation()
     counts = [F.count_if((F.col("route") == r) & F.col("reason").isNull()).alias(r) for r in ("batch", "stream")]
     counts += [F.count_if(F.col("reason") == r).alias(r) for r in telemetry.REASONS]
-    watched = rows.observe(seen, F.count("*").alias("lines"), *counts)
-    write_parquet(telemetry.accepted(watched, telemetry.BATCH, enriched), output_path, codec, shards, mode)
-    outcome = seen.get
-    if rejects_path is not None and any(outcome[r] for r in telemetry.REASONS):
+    rows = rows.observe(seen, F.count("*").alias("lines"), *counts)
+    if rejects_path is not None:
+        wanted = F.col("reason").isNotNull() | (F.col("route") == telemetry.BATCH)
+        rows = land(spark, rows.where(wanted), "telemetry-judged")
         write_parquet(telemetry.rejected(rows), rejects_path, codec, mode=mode)
-    return outcome
+    write_parquet(telemetry.accepted(rows, telemetry.BATCH, enriched), output_path, codec, shards, mode)
+    return seen.get
 
 
 def count_output(spark: SparkSession, output_path: str) -> int | None:
