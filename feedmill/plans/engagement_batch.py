@@ -11,7 +11,7 @@ from feedmill.operators import engagement
 from feedmill.operators.quality import Output, manifest
 from feedmill.plans import land
 from feedmill.schemas import ENGAGEMENT_AVRO
-from feedmill.session import prepare
+from feedmill.session import prepare, scan_task_size
 from feedmill.sinks import write_avro, write_kafka, write_parquet
 from feedmill.sources import read_lines
 
@@ -56,8 +56,10 @@ def main() -> None:
     parser.add_argument("--manifest_path", help="append the completion message to this Parquet folder")
     parser.add_argument("--bootstrap_servers", help="send the completion message to these brokers")
     parser.add_argument("--topic", default="fan-engagement")
+    parser.add_argument("--split_mb", type=int, help="megabytes of input per task")
     args = parser.parse_args()
     spark = SparkSession.builder.appName("engagement-batch").getOrCreate()
+    scan_task_size(spark, args.split_mb)
     outcome = run(
         spark,
         args.input_path,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from feedmill.operators import telemetry
 from feedmill.operators.quality import Output, manifest
 from feedmill.plans import land
-from feedmill.session import prepare
+from feedmill.session import prepare, scan_task_size
 from feedmill.sinks import write_parquet
 from feedmill.sources import read_lines, read_parquet
 
@@ -67,8 +67,10 @@ def main() -> None:
     parser.add_argument("--enriched", action="store_true", help="store the derived columns too")
     parser.add_argument("--zone", default="UTC", help="zone of timestamps without an offset")
     parser.add_argument("--shards", type=int, help="number of output files; one per task by default")
+    parser.add_argument("--split_mb", type=int, help="megabytes of input per task")
     args = parser.parse_args()
     spark = SparkSession.builder.appName("telemetry-batch").getOrCreate()
+    scan_task_size(spark, args.split_mb)
     outcome = run(
         spark, args.input_path, args.output_path, args.rejects_path, args.enriched, args.zone, args.shards
     )

@@ -13,8 +13,6 @@ RUNTIME_CONF = {
     # A repeated JSON key keeps its last value instead of failing the line.
     "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.session.timeZone": "UTC",
-    # Needed only when the TIME column type is asked for.
-    "spark.sql.timeType.enabled": "true",
 }
 
 
@@ -25,6 +23,12 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def scan_task_size(spark: SparkSession, megabytes: int | None) -> None:
+    """Bytes of input per scan task, which also sets the size of the files a narrow job writes."""
+    if megabytes is not None:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", f"{megabytes}m")
+
+
 def local_session(cores: int | str = "*", app: str = "feedmill") -> SparkSession:
     """A local session for tests and the bench; clusters bring their own."""
     builder = (

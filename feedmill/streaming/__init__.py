@@ -59,7 +59,8 @@ def start_split(
 
     ``outputs`` maps a route to its folder. A batch writes to its own
     ``batch_id=N`` folders and overwrites them when it is run again after a
-    failure, so every line lands exactly once.
+    failure, so every line lands exactly once. Readers of a folder see
+    ``batch_id`` as a partition column.
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
