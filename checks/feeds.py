@@ -180,7 +180,11 @@ def _telemetry_json() -> str:
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet").withColumnRenamed("event_id", "e")
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").withColumnRenamed("event_id", "e")
+    # The small test tables are one row group, hence one task. Larger ones are
+    # split by the scan itself and are left as they are.
+    cores = spark.sparkContext.defaultParallelism
+    return events.repartition(cores) if events.rdd.getNumPartitions() < cores else events
 
 
 def telemetry_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
