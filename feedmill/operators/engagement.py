@@ -93,7 +93,7 @@ def validate(lines: DataFrame, value: str = "value", zone: str = "UTC", on_crash
     )
     seconds = [_leaf(_SECONDS)]
     numbers = records.withColumns(
-        {"_plain": F.array(jv.plain_number(seconds[0])), "_odd": jv.holds_odd_number(seconds)}
+        {"_plain": jv.plain_numbers([f"_rec.{_SECONDS}"]), "_odd": jv.holds_odd_number([f"_rec.{_SECONDS}"])}
     )
     typed = numbers.select(
         *keep,

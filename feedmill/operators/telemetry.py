@@ -6,8 +6,6 @@ streaming frame: one parse, no shuffle, no Python worker.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -73,8 +71,12 @@ _OPTIONAL_PARTS = [path for path in _containers(_TREE) if path != (_GPS,)]
 _BY_TYPE = {t: [f for f in TELEMETRY_FIELDS if f.type == t] for t in ("string", "time", "whole", "real")}
 
 
-def _at(path: tuple[str, ...], root: str = "_rec") -> Column:
-    return reduce(lambda column, key: column[key], path, F.col(root))
+def _ref(path: tuple[str, ...]) -> str:
+    return ".".join(f"`{key}`" for key in ("_rec", *path))
+
+
+def _at(path: tuple[str, ...]) -> Column:
+    return F.col(_ref(path))
 
 
 def _variant_at(path: tuple[str, ...]) -> Column:
@@ -86,7 +88,7 @@ def _route() -> Column:
     """Which job a row belongs to, from its diagnostic part alone."""
     part = _at((_DIAGNOSTIC,))
     whole = _variant_at((_DIAGNOSTIC,))
-    has_known_leaf = part.isNotNull() & any_of([part[key].isNotNull() for key in _TREE[_DIAGNOSTIC]])
+    has_known_leaf = part.isNotNull() & any_of([_at((_DIAGNOSTIC, key)).isNotNull() for key in _TREE[_DIAGNOSTIC]])
     # The cheap test settles nearly all rows; the rest look at the value itself.
     return F.when(
         F.col("_rec").isNotNull(),
@@ -141,16 +143,17 @@ def flatten(lines: DataFrame, value: str = "value", zone: str = "UTC") -> DataFr
         .when(_no_position(), "gps")
     )
     time_leaf, time_name = _at(_BY_TYPE["time"][0].path), _BY_TYPE["time"][0].name
-    leaves = {t: [_at(f.path) for f in _BY_TYPE[t]] for t in ("whole", "real", "string")}
+    numbers = {t: [_ref(f.path) for f in _BY_TYPE[t]] for t in ("whole", "real")}
+    texts = {f.name: _at(f.path) for f in _BY_TYPE["string"]}
     held = records.select(
         *keep,
         "_doc",
         _route().alias("route"),
         shape.alias("_shape"),
-        any_of([jv.not_text(leaf) for leaf in leaves["string"]]).alias("_wrong_text"),
-        *[F.array(*[jv.plain_number(leaf) for leaf in leaves[t]]).alias(f"_{t}s") for t in ("whole", "real")],
-        *[jv.holds_odd_number(leaves[t]).alias(f"_odd_{t}s") for t in ("whole", "real")],
-        *[jv.text(_at(f.path)).alias(f.name) for f in _BY_TYPE["string"]],
+        any_of([jv.not_text(leaf) for leaf in texts.values()]).alias("_wrong_text"),
+        *[jv.plain_numbers(refs).alias(f"_{t}s") for t, refs in numbers.items()],
+        *[jv.holds_odd_number(refs).alias(f"_odd_{t}s") for t, refs in numbers.items()],
+        *[jv.text(leaf).alias(name) for name, leaf in texts.items()],
         F.when(~jv.not_text(time_leaf), jv.text(time_leaf)).alias(time_name),
     )
 
@@ -174,9 +177,9 @@ def flatten(lines: DataFrame, value: str = "value", zone: str = "UTC") -> DataFr
     unbounded = (F.array_max(reals) >= _INF) | (F.array_min(reals) == -_INF)
     typed_columns = {f.name: F.col(f.name) for f in TELEMETRY_FIELDS}
     for n, f in enumerate(_BY_TYPE["whole"]):
-        typed_columns[f.name] = F.get(wholes, F.lit(n)).try_cast("int").alias(f.name)
+        typed_columns[f.name] = F.expr(f"try_cast(get(_wholes, {n}) AS INT) AS {f.name}")
     for n, f in enumerate(_BY_TYPE["real"]):
-        typed_columns[f.name] = F.get(reals, F.lit(n)).alias(f.name)
+        typed_columns[f.name] = F.expr(f"get(_reals, {n}) AS {f.name}")
     typed = mended.select(
         *keep,
         "route",
