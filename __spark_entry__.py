@@ -7,6 +7,7 @@ Every query runs the library over a raw feed that Spark makes from the whole
 
 from __future__ import annotations
 
+import importlib.util
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -164,13 +165,25 @@ def kafka_messages_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return messages.select(F.from_json("value", fields).alias("r")).select("r.*")
 
 
+def _corpus_modules() -> tuple:
+    """The corpus queries and pipeline where they are installed; what they import must be there if they are."""
+    there = all(importlib.util.find_spec(name) for name in ("feedmill.llm", "corpus_pipeline"))
+    if not there:
+        return ()
+    import corpus_pipeline
+    from feedmill.llm import oracles
+    from feedmill.llm import queries as corpus
+
+    return corpus_pipeline, corpus, oracles
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: flat and derived telemetry columns from raw lines."""
     return telemetry_enriched(spark, "/root/testdata/sf0.001")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    found = {
         "telemetry_flat_batch": telemetry_flat_batch,
         "telemetry_flat_stream": telemetry_flat_stream,
         "telemetry_stream_split": telemetry_stream_split,
@@ -189,7 +202,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "jsonl_roundtrip": jsonl_roundtrip,
         "kafka_messages": kafka_messages_text,
     }
+    for pipeline, corpus, _ in [m for m in [_corpus_modules()] if m]:
+        found |= corpus.QUERIES | {"pipeline": pipeline.run}
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
+    found = dict(ORACLES)
+    for pipeline, _, oracles in [m for m in [_corpus_modules()] if m]:
+        found |= oracles.ORACLES
+        if pipeline.ORACLE_SQL:
+            found["pipeline"] = pipeline.ORACLE_SQL
+    return found
