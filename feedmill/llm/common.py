@@ -24,7 +24,17 @@ def land(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     folder = scratch_dir(spark, label)
     df.write.parquet(folder)
-    return spark.read.schema(df.schema).parquet(folder)
+    landed = spark.read.schema(df.schema).parquet(folder)
+    landed.landed_at = folder
+    return landed
+
+
+def discard(*landed: DataFrame) -> None:
+    """Delete landed tables that nothing lazy reads any more."""
+    for df in landed:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.landed_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def bind(value: Column, use: Callable[[Column], Column]) -> Column:

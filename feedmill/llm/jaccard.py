@@ -33,10 +33,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedmill.llm.common import land
+from feedmill.llm.common import discard, land
 
 #: Ids up to this many are broadcast to pick their rows; more are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
@@ -67,7 +67,7 @@ class Rule:
 
     @property
     def sample(self) -> int:
-        return min(65536, int(65536 * 1.7 * (100 - self.percent) / 100))
+        return min(65536, int(65536 * 1.4 * (100 - self.percent) / 100))
 
     def least(self, size):
         """The smallest intersection that a set of this size can link with."""
@@ -322,7 +322,8 @@ def components(edges: DataFrame) -> DataFrame:
     edges = land(edges.where("u <> v").select("u", "v").distinct(), "jaccard-edges")
     before = state(edges)
     while before[0]:
-        edges = land(_star(edges), "jaccard-edges")
+        old, edges = edges, land(_star(edges), "jaccard-edges")
+        discard(old)
         after = state(edges)
         if after == before:
             break
@@ -330,9 +331,9 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("id"), F.col("v").alias("root"))
 
 
-def _sampled(rule: Rule):
+def _sampled(gram: Column, rule: Rule) -> Column:
     share = F.when(F.col("level") < SMALL.bit_length() - 1, 65536).otherwise(rule.sample)
-    return F.col("gram").bitwiseAND(F.lit(0xFFFF)) < share
+    return gram.bitwiseAND(F.lit(0xFFFF)) < share
 
 
 def link(docs: DataFrame, rule: Rule = Rule(), text: str = "text") -> DataFrame:
@@ -358,18 +359,20 @@ def link(docs: DataFrame, rule: Rule = Rule(), text: str = "text") -> DataFrame:
             F.first("sent").alias("sent"),
         )
     )
-    postings = classes.select("node", "level", "n", "counted", F.explode("sent").alias("gram"))
+    # Two numbers to a row, as there are many: the class at its level, and the n-gram.
+    classes = classes.withColumn("key", F.xxhash64("node", "level"))
+    postings = classes.select("key", F.explode("sent").alias("gram"))
     shared = (
-        postings.groupBy("gram")
-        .agg(F.count(F.lit(1)).alias("df"), F.min(F.xxhash64("node")).alias("leader"))
-        .where("df > 1")
+        postings.groupBy("gram").agg(F.count(F.lit(1)).alias("df"), F.min("key").alias("leader")).where("df > 1")
     )
-    met = postings.join(shared, "gram").select(
-        "node", "level", "n", "counted", F.struct((~_sampled(rule)).alias("late"), "df", "gram", "leader").alias("g")
+    met = postings.join(shared, "gram").groupBy("key").agg(F.collect_list(F.struct("df", "gram", "leader")).alias("met"))
+    about = classes.select("key", "node", "level", "n", "counted")
+    ranked = F.sort_array(
+        F.transform("met", lambda x: F.struct((~_sampled(x["gram"], rule)).alias("late"), x["df"].alias("df"), x["gram"].alias("gram"), x["leader"].alias("leader")))
     )
+    held = met.join(about, "key").select("node", "level", "n", "counted", ranked.alias("g"))
     size = F.ceil(F.col("n") * rule.percent / 100).cast("int")
     size = F.col("n").cast("int") - size + 1
-    held = met.groupBy("node", "level").agg(F.first("n").alias("n"), F.first("counted").alias("counted"), F.sort_array(F.collect_list("g")).alias("g"))
     # N-grams that occur once come first in the order and take their part of the prefix.
     once = F.col("counted") - F.size(F.filter("g", lambda x: ~x["late"]))
     room = size - once
@@ -404,11 +407,11 @@ def link(docs: DataFrame, rule: Rule = Rule(), text: str = "text") -> DataFrame:
         F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")
     )
     reps = land(reps, "jaccard-classes")
-    taking = land(reps.join(wanted, "node", "left_semi"), "jaccard-taking")
-    texts = pick(source, taking.select(F.col("rep").alias("doc_id")).distinct(), ["doc_id"], "left_semi").select("text")
+    taken = land(reps.join(wanted, "node", "left_semi"), "jaccard-taking")
+    texts = pick(source, taken.select(F.col("rep").alias("doc_id")).distinct(), ["doc_id"], "left_semi").select("text")
     # An id may have several texts; only wanted sets go on, each once.
     sets = texts.mapInArrow(_sets(rule), "node binary, grams binary").groupBy("node").agg(F.first("grams").alias("grams"))
-    taking = land(taking.join(sets, "node"), "jaccard-sets")
+    taking = land(taken.join(sets, "node"), "jaccard-sets")
 
     meetings = dealt.join(taking, "node")
     sorted_ = meetings.repartition(*_GROUP).sortWithinPartitions(*_GROUP).select(
@@ -416,6 +419,8 @@ def link(docs: DataFrame, rule: Rule = Rule(), text: str = "text") -> DataFrame:
     )
     found = land(sorted_.mapInArrow(_verify(rule), "u bigint, v bigint, n_links bigint"), "jaccard-links")
 
+    discard(live, dealt, taken, taking)
+
     degree = found.groupBy(F.col("u").alias("rep")).agg(F.sum("n_links").alias("others"))
     roots = components(found).select(F.col("id").alias("rep"), "root")
     named = reps.join(roots, "rep", "left").join(degree, "rep", "left").select(

@@ -199,26 +199,35 @@ def base_failed(c: Column) -> Column:
     return (c["n_words"] < MIN_WORDS) | (100 * c["n_repeat_words"] > MAX_REPEAT_PERCENT * c["n_words"])
 
 
-def voted(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Columns ``row`` (the input row whole), ``c`` (counts) and one per vote."""
-    rows = docs.select(F.struct(*[F.col(f"`{x}`") for x in docs.columns]).alias("row"), counts(F.col(f"`{text}`")).alias("c"))
+def voted(docs: DataFrame, text: str = "text", carry: list[str] | None = None) -> DataFrame:
+    """Columns ``row`` (the input row, or its columns ``carry``), ``c`` (counts) and one per vote."""
+    row = F.struct(*[F.col(f"`{x}`") for x in (docs.columns if carry is None else carry)])
+    rows = docs.select(row.alias("row"), counts(F.col(f"`{text}`")).alias("c"))
     return rows.select("row", "c", *[v.alias(k) for k, v in votes(F.col("c")).items()])
 
 
-def judge(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Every row, as struct ``row``, with ``c`` (counts), ``base_failed``, ``p_good`` and ``kept``.
-
-    One pass over the texts; counts and votes are landed with the rows, so the
-    second pass, after the fit, reads numbers. Null and empty texts have zero
-    counts and fail; repeated rows get equal verdicts; an empty table gives an
-    empty result; other columns ride along inside ``row`` and cannot clash.
-    """
-    seen = land(voted(docs, text), "quality-votes")
-    model = fit(seen)
+def verdicts(seen: DataFrame, model: Model) -> DataFrame:
     out = seen.withColumn("p_good", posterior(model)).withColumn("base_failed", base_failed(F.col("c")))
     return out.withColumn("kept", ~F.col("base_failed") & (F.col("p_good") >= THRESHOLD))
 
 
+def judge(docs: DataFrame, text: str = "text", carry: list[str] | None = None) -> DataFrame:
+    """Every row, as struct ``row`` of the columns ``carry``, with ``c`` (counts), ``base_failed``, ``p_good`` and ``kept``.
+
+    One pass over the texts; counts and votes are landed, so the second pass,
+    after the fit, reads numbers. Null and empty texts have zero counts and fail;
+    repeated rows get equal verdicts; an empty table gives an empty result;
+    carried columns stay inside ``row`` and cannot clash.
+    """
+    seen = land(voted(docs, text, carry), "quality-votes")
+    return verdicts(seen, fit(seen))
+
+
 def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The input rows that are kept, with the input's columns."""
-    return judge(docs, text).where("kept").select("row.*")
+    """The input rows that are kept, with the input's columns.
+
+    Reads the texts twice, for the fit and for the verdicts, instead of keeping
+    a second copy of the corpus in between.
+    """
+    seen = voted(docs, text)
+    return verdicts(seen, fit(seen)).where("kept").select("row.*")

@@ -60,7 +60,7 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = quality_rules.judge(documents(spark, sf_dir).select("doc_id", "text"))
+    judged = quality_rules.judge(documents(spark, sf_dir), carry=["doc_id"])
     return judged.select(
         "row.doc_id",
         "c.n_words",
