@@ -15,6 +15,7 @@ import os
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
+from itertools import batched
 
 import pyarrow as pa
 from pyspark import SparkFiles, TaskContext
@@ -28,6 +29,7 @@ WINDOW = 4096
 END = 2
 #: Words that a worker remembers the ids of.
 CACHE_WORDS = 600_000
+WORDS_AT_ONCE = 50_000
 TOKEN_BYTES = 4
 
 _STREAM = "doc_id bigint, doc_tokens bigint, ids binary, part int, at bigint"
@@ -45,7 +47,7 @@ class WordEncoder:
 
     The tokenizer splits at white space before anything else and drops it, so the
     ids of a text are those of its words in order. Words come back often; the
-    library sees each once per worker.
+    library sees each once per worker, for as long as the worker remembers it.
     """
 
     def __init__(self, path: str) -> None:
@@ -71,14 +73,20 @@ class WordEncoder:
             words.update(of)
         if len(self._known) + len(words) > CACHE_WORDS:
             self._known = {"": b""}
-        fresh = list(words.difference(self._known))
-        for word, found in zip(fresh, self._tokenizer.encode_batch_fast(fresh, add_special_tokens=False)):
-            self._known[word] = array("I", found.ids).tobytes()
+        fresh = words.difference(self._known)
+        # A full stop or comma behind letters alone is a token of its own.
+        ended = [w for w in fresh if w[-1] in ".," and w[:-1].isalpha()]
+        plain = fresh.difference(ended).union([w[:-1] for w in ended], ".,").difference(self._known)
+        for some in batched(plain, WORDS_AT_ONCE):
+            for word, found in zip(some, self._tokenizer.encode_batch_fast(list(some), add_special_tokens=False)):
+                self._known[word] = array("I", found.ids).tobytes()
+        for word in ended:
+            self._known[word] = self._known[word[:-1]] + self._known[word[-1]]
         return [b"".join(map(self._known.__getitem__, of)) for of in split]
 
 
 @functools.lru_cache(maxsize=1)
-def _encoder(path: str) -> WordEncoder:
+def word_encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
@@ -86,7 +94,7 @@ def _encode(name: str, end: int) -> Callable[[Iterator[pa.RecordBatch]], Iterato
     last = array("I", [end]).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, at = _encoder(SparkFiles.get(name)), TaskContext.get().partitionId(), 0
+        encoder, part, at = word_encoder(SparkFiles.get(name)), TaskContext.get().partitionId(), 0
         for batch in batches:
             for lo in range(0, batch.num_rows, ROWS_AT_ONCE):
                 rows = batch.slice(lo, ROWS_AT_ONCE)

@@ -76,14 +76,11 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, tokenised and cut into sequences, as shards in training order; each record read back."""
-    streamed = packing.stream(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
-    tokens = streamed.agg(F.coalesce(F.sum("doc_tokens"), F.lit(0)).alias("n")).first()["n"]
-    folder = scratch_dir(spark, "training-order")
-    window = packing.WINDOW
-    index = training_order.materialise(
-        packing.cut(streamed), folder, ORDER_KEY, window, n=-(-tokens // window)
+    listing = training_order.streams(
+        documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), scratch_dir(spark, "token-streams")
     )
-    return training_order.read_back(index, folder, window)
+    folder = scratch_dir(spark, "training-order")
+    return training_order.read_back(training_order.materialise(listing, folder, ORDER_KEY), folder)
 
 
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
