@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedmill.llm.common import discard, land
+from feedmill.llm.common import bind, discard, land
 
 #: Ids up to this many are broadcast to pick their rows; more are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
@@ -212,6 +212,8 @@ def _links(level, leader, block, across, size, prefix, leaders, sets, rule: Rule
     ok &= np.not_equal.outer(block, block) if across else ~np.eye(m, dtype=bool)
     # The level of a pair is that of its larger set; below it no pair is looked at twice.
     ok &= large >= (1 << level)
+    # Two rows meet in the group of every leader they share; the least of them is in charge.
+    ok &= _membership([x[x < leader] for x in leaders]) == 0
     if ok.any():
         ok &= _membership(prefix) > 0
     for odd in _ODD[1:3]:
@@ -220,10 +222,6 @@ def _links(level, leader, block, across, size, prefix, leaders, sets, rule: Rule
         live = np.flatnonzero(ok.any(axis=1))
         part = _membership([_first(sets[i], odd, int(rule.prefix(int(size[i])))) for i in live]) > 0
         ok[np.ix_(live, live)] &= part
-    for i, j in zip(*np.nonzero(np.triu(ok))):
-        if leaders[i][0] != leader or leaders[j][0] != leader:
-            if min(set(leaders[i].tolist()) & set(leaders[j].tolist())) != leader:
-                ok[i, j] = ok[j, i] = False
     if ok.any():
         live = np.flatnonzero(ok.any(axis=1))
         shared = _membership([sets[i] for i in live])
@@ -370,14 +368,15 @@ def link(docs: DataFrame, rule: Rule = Rule(), text: str = "text") -> DataFrame:
     ranked = F.sort_array(
         F.transform("met", lambda x: F.struct((~_sampled(x["gram"], rule)).alias("late"), x["df"].alias("df"), x["gram"].alias("gram"), x["leader"].alias("leader")))
     )
-    held = met.join(about, "key").select("node", "level", "n", "counted", ranked.alias("g"))
-    size = F.ceil(F.col("n") * rule.percent / 100).cast("int")
-    size = F.col("n").cast("int") - size + 1
-    # N-grams that occur once come first in the order and take their part of the prefix.
-    once = F.col("counted") - F.size(F.filter("g", lambda x: ~x["late"]))
-    room = size - once
-    prefix = F.filter("g", lambda x, i: x["late"] | (i < room))
-    live = held.select("node", "level", "n", prefix.alias("g")).where(F.size("g") > 0)
+    held = met.join(about, "key")
+    size = F.col("n") - F.ceil(F.col("n") * rule.percent / 100) + 1
+
+    def first(g: Column) -> Column:
+        # N-grams that occur once come first in the order and take their part of the prefix.
+        once = F.col("counted") - F.size(F.filter(g, lambda x: ~x["late"]))
+        return bind(size - once, lambda room: F.filter(g, lambda x, i: x["late"] | (i < room)))
+
+    live = held.select("node", "level", "n", bind(ranked, first).alias("g")).where(F.size("g") > 0)
     live = land(
         live.select(
             "node",
