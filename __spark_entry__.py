@@ -159,10 +159,9 @@ def jsonl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def kafka_messages_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as keyed messages, and the fields read out of the message text."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet").drop("ts", "props")
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
     messages = kafka_messages(events).where(F.length("key") == 36)
-    fields = "event_id bigint, user_id bigint, event_type string, value double"
-    return messages.select(F.from_json("value", fields).alias("r")).select("r.*")
+    return messages.select(F.from_json("value", _EVENT_FIELDS).alias("r")).select("r.*")
 
 
 def _corpus_modules() -> tuple:

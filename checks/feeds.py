@@ -180,11 +180,7 @@ def _telemetry_json() -> str:
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = spark.read.parquet(f"{sf_dir}/events.parquet").withColumnRenamed("event_id", "e")
-    # The small test tables are one row group, hence one task. Larger ones are
-    # split by the scan itself and are left as they are.
-    cores = spark.sparkContext.defaultParallelism
-    return events.repartition(cores) if events.rdd.getNumPartitions() < cores else events
+    return spark.read.parquet(f"{sf_dir}/events.parquet").withColumnRenamed("event_id", "e")
 
 
 def telemetry_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -263,7 +259,7 @@ def quake_table(spark: SparkSession, sf_dir: str, decimals: int = 3) -> DataFram
         ).alias("UTC_Date"),
         F.expr("CASE WHEN e % 19 = 0 THEN '' ELSE concat(e % 700, ' km') END").alias("Profundity"),
         F.expr("e").cast("string").alias("Row"),
-        F.expr("concat(cast((20 + e % 60) / 10 as string), ' ', upper(left(event_type, 2)))").alias("Magnitude"),
+        F.expr("concat(cast((20 + e % 60) / 10 as string), ' ', upper(event_type))").alias("Magnitude"),
         F.expr("date_format(ts, 'yyyy-MM-dd')").alias("Date"),
         F.expr("CASE WHEN e % 7 = 0 THEN date_format(ts, 'HH:mm') ELSE date_format(ts, 'HH:mm:ss.SSS') END").alias("Hour"),
         F.expr("""concat(e % 90, ' km al "N", sector ', user_id, CASE WHEN e % 23 = 0 THEN '\n' ELSE '' END)""").alias("Location"),
@@ -284,13 +280,14 @@ def feed_folder(spark: SparkSession, sf_dir: str, name: str) -> str:
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _written:
         folder = scratch_dir(spark, name)
+        files = spark.sparkContext.defaultParallelism
         if name == "telemetry":
-            telemetry_lines(spark, sf_dir).write.text(folder)
+            telemetry_lines(spark, sf_dir).repartition(files).write.text(folder)
         elif name == "fan":
-            fan_lines(spark, sf_dir).write.text(folder)
+            fan_lines(spark, sf_dir).repartition(files).write.text(folder)
         else:
             decimals = int(name.removeprefix("quakes"))
-            writer = quake_table(spark, sf_dir, decimals).write.option("header", True).option("escape", '"')
+            writer = quake_table(spark, sf_dir, decimals).repartition(files).write.option("header", True).option("escape", '"')
             keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
             writer.options(**keep).csv(folder)
         _written[key] = folder

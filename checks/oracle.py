@@ -186,7 +186,7 @@ FROM judged WHERE reason IS NULL
 
 _QUAKE_TEXT = """
        CASE WHEN event_id % 19 = 0 THEN '' ELSE (event_id % 700) || ' km' END AS "Profundity",
-       CAST(CAST(20 + event_id % 60 AS DOUBLE) / 10 AS VARCHAR) || ' ' || upper(left(event_type, 2)) AS "Magnitude",
+       CAST(CAST(20 + event_id % 60 AS DOUBLE) / 10 AS VARCHAR) || ' ' || upper(event_type) AS "Magnitude",
        CAST(ts AS DATE) AS "Date",
        CAST(CASE WHEN event_id % 7 = 0 THEN hour(ts) * 3600 + minute(ts) * 60
                  ELSE hour(ts) * 3600 + minute(ts) * 60 + second(ts) END AS INTEGER) * 1000 AS "Hour",
@@ -258,5 +258,5 @@ WHERE reason IS NOT NULL GROUP BY ALL""",
         ["avro:null", "avro:deflate", "avro:snappy", "parquet:NONE", "parquet:SNAPPY", "parquet:GZIP", "parquet:LZ4"],
     ),
     "jsonl_roundtrip": """SELECT event_id, ts, user_id, event_type, value, props FROM events""",
-    "kafka_messages": """SELECT event_id, user_id, event_type, value FROM events""",
+    "kafka_messages": """SELECT * FROM events""",
 }

@@ -37,8 +37,6 @@ _DIAGNOSTIC = "Diagnostic_Data"
 _GPS = "GPS_Coordinates"
 _INF = float("inf")
 
-# An integer too long for any double, outside of quotes.
-_HUGE_INTEGER = r"[:\[,\s]-?[0-9]{309,}\s*[,}\]]"
 
 
 def _tree(fields: list[Field]) -> dict:
@@ -58,6 +56,10 @@ def _ddl(node: dict) -> str:
 
 _TREE = _tree(TELEMETRY_FIELDS)
 
+# An integer too long for any double, as the value of a real leaf's own key.
+_REAL_KEYS = "|".join(sorted({f.path[-1] for f in TELEMETRY_FIELDS if f.type == "real"}))
+_HUGE_INTEGER = rf'"({_REAL_KEYS})"\s*:\s*-?[0-9]{{309,}}\s*[,}}]'
+
 
 def _containers(node: dict, prefix: tuple[str, ...] = ()) -> list[tuple[str, ...]]:
     found = []
@@ -173,7 +175,7 @@ def flatten(lines: DataFrame, value: str = "value", zone: str = "UTC") -> DataFr
 
     wholes, reals = F.col("_wholes"), F.col("_reals")
     high, low = F.array_max(wholes), F.array_min(wholes)
-    # NaN sorts above infinity, so it also sends a row to the look at its line.
+    # NaN sorts above infinity, so it also sends a row to the look at its real keys.
     unbounded = (F.array_max(reals) >= _INF) | (F.array_min(reals) == -_INF)
     typed_columns = {f.name: F.col(f.name) for f in TELEMETRY_FIELDS}
     for n, f in enumerate(_BY_TYPE["whole"]):

@@ -13,6 +13,8 @@ RUNTIME_CONF = {
     # A repeated JSON key keeps its last value instead of failing the line.
     "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Instants are stored as milliseconds in UTC, with statistics readers can skip by.
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MILLIS",
 }
 
 

@@ -13,9 +13,13 @@ from feedmill.schemas import QUAKE_COLUMNS
 AVRO_FORMAT = "org.apache.spark.sql.avro.AvroFileFormat"
 
 
+# A carriage return is white space inside a document, not the end of a line.
+LINE_END = "\n"
+
+
 def read_lines(spark: SparkSession, paths: str | list[str], with_source: bool = False) -> DataFrame:
     """Text lines of every file the paths or globs name."""
-    lines = spark.read.text(paths)
+    lines = spark.read.option("lineSep", LINE_END).text(paths)
     if with_source:
         return lines.select("value", F.col("_metadata.file_path").alias("source_file"))
     return lines
@@ -23,7 +27,7 @@ def read_lines(spark: SparkSession, paths: str | list[str], with_source: bool =
 
 def stream_lines(spark: SparkSession, path: str, max_files: int | None = None, with_source: bool = False) -> DataFrame:
     """Text lines of files as they arrive in a folder."""
-    reader = spark.readStream
+    reader = spark.readStream.option("lineSep", LINE_END)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     lines = reader.text(path)
@@ -55,13 +59,15 @@ def read_quake_csv(spark: SparkSession, paths: str | list[str], multi_line: bool
 
     Quoted fields may hold line breaks, which makes each file one task. For
     large files without such fields ``multi_line=False`` lets Spark split them.
-    Files read together must share one header; other columns are ignored.
+    Files read together must share one header (the job stops if one differs);
+    other columns are ignored.
     """
     rows = (
         spark.read.option("header", True)
         .option("multiLine", multi_line)
         .option("escape", '"')
         .option("encoding", "UTF-8")
+        .option("enforceSchema", False)
         .csv(paths)
     )
     return rows.select(*QUAKE_COLUMNS)

@@ -214,3 +214,17 @@ def test_one_parse_no_shuffle(lines):
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert plan.count("from_json(") == 1
     assert "Exchange" not in plan and "Python" not in plan and "ArrowEval" not in plan
+
+
+def test_digits_elsewhere_do_not_reject_a_row(spark):
+    digits = "9" * 400
+    plain = json.dumps(FULL)
+    cases = {
+        "unknown": plain.replace('"Speed_km_h": 23.1', f'"Speed_km_h": NaN, "Extra": {digits}'),
+        "text": plain.replace('"Speed_km_h": 23.1', '"Speed_km_h": NaN').replace('"Reverse"', f'"a, {digits}, b"'),
+        "infinity": plain.replace('"Speed_km_h": 23.1', f'"Speed_km_h": Infinity, "Extra": {digits}'),
+        "leaf": plain.replace('"Speed_km_h": 23.1', f'"Speed_km_h": {digits}'),
+    }
+    lines = spark.createDataFrame(list(cases.items()), "name string, value string")
+    reasons = {r["name"]: r["reason"] for r in telemetry.flatten(lines).select("name", "reason").collect()}
+    assert reasons == {"unknown": None, "text": None, "infinity": None, "leaf": "non_finite_int"}
