@@ -40,7 +40,8 @@ def _zone_free(df: DataFrame) -> DataFrame:
 
 
 def telemetry_flat_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _zone_free(telemetry.accepted(_rows(spark, sf_dir), telemetry.BATCH))
+    rows = telemetry.flatten(feeds.telemetry_lines(prepare(spark), sf_dir), route=telemetry.BATCH)
+    return _zone_free(telemetry.accepted(rows, telemetry.BATCH))
 
 
 def telemetry_flat_stream(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -34,8 +34,8 @@ def _queries(spark: SparkSession, sf_dir: str) -> dict:
     csv = {n: read_quake_csv(spark, feeds.feed_folder(spark, sf_dir, f"quakes{n}")) for n in (3, 4)}
     rows = telemetry.flatten(lines)
     frames = {
-        "telemetry_flat_batch": telemetry.accepted(rows, telemetry.BATCH),
-        "telemetry_flat_stream": telemetry.accepted(rows, telemetry.STREAM),
+        "telemetry_flat_batch": telemetry.accepted(telemetry.flatten(lines, route=telemetry.BATCH), telemetry.BATCH),
+        "telemetry_flat_stream": telemetry.accepted(telemetry.flatten(lines, route=telemetry.STREAM), telemetry.STREAM),
         "telemetry_enriched": telemetry.accepted(rows, enriched=True),
         "telemetry_routes": route_counts(rows),
         "telemetry_conformance": conformance(telemetry.accepted(rows)),

@@ -12,11 +12,6 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Closes the array each line is wrapped in. A line that smuggles in its own
-# bracket, or holds several documents, does not leave exactly two elements
-# with this one last.
-_END = "␞end"
-
 # Strict JSON plus the bare NaN / Infinity tokens many JSON writers emit.
 _JSON_OPTIONS = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "true"}
 
@@ -31,16 +26,26 @@ _REAL_TEXT = (
 _EDGE_BLANKS = r"(?U)^\s+|\s+$"
 
 
+def _end(line: Column) -> Column:
+    """What closes the array that a line is wrapped in, as JSON text.
+
+    It is made from the line, so a line cannot bring it along: one that smuggles
+    in its own bracket, or holds several documents, does not leave exactly two
+    elements with this one last.
+    """
+    return F.concat(F.lit('"␞'), F.xxhash64(line).cast("string"), F.lit('"'))
+
+
 def parse_document(line: Column) -> Column:
     """The line's one JSON document in a two-element array, NULL if malformed."""
-    wrapped = F.concat(F.lit("["), line, F.lit(f',"{_END}"]'))
+    wrapped = F.concat(F.lit("["), line, F.lit(","), _end(line), F.lit("]"))
     return F.from_json(wrapped, "array<variant>", _JSON_OPTIONS)
 
 
-def is_single_document(parsed: Column) -> Column:
+def is_single_document(parsed: Column, line: Column) -> Column:
     """True when the line was exactly one JSON document."""
     last = F.to_json(F.get(parsed, F.lit(1)))
-    return F.coalesce((F.size(parsed) == 2) & (last == f'"{_END}"'), F.lit(False))
+    return F.coalesce((F.size(parsed) == 2) & (last == _end(line)), F.lit(False))
 
 
 def document(parsed: Column) -> Column:

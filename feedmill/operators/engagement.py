@@ -85,7 +85,7 @@ def validate(lines: DataFrame, value: str = "value", zone: str = "UTC", on_crash
     parsed = lines.select(*others, F.col(value).alias("line"), jv.parse_document(F.col(value)).alias("_parsed"))
     documents = parsed.select(
         *keep,
-        F.when(jv.is_single_document(F.col("_parsed")), jv.document(F.col("_parsed"))).alias("_doc"),
+        F.when(jv.is_single_document(F.col("_parsed"), F.col("line")), jv.document(F.col("_parsed"))).alias("_doc"),
     )
     shape = ", ".join(f"`{key}`: variant" for key in _KEYS)
     records = documents.select(

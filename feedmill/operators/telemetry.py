@@ -38,7 +38,6 @@ _GPS = "GPS_Coordinates"
 _INF = float("inf")
 
 
-
 def _tree(fields: list[Field]) -> dict:
     root: dict = {}
     for field in fields:
@@ -116,12 +115,13 @@ def _no_position() -> Column:
     return _at((_GPS, "Latitude")).isNull() | _at((_GPS, "Longitude")).isNull()
 
 
-def flatten(lines: DataFrame, value: str = "value", zone: str = "UTC") -> DataFrame:
+def flatten(lines: DataFrame, value: str = "value", zone: str = "UTC", route: str | None = None) -> DataFrame:
     """Parse, route, flatten and judge JSON lines.
 
     Gives the 41 flat columns plus ``route``, ``reason`` (NULL for a good row),
     ``line`` (the raw text) and every other input column. ``zone`` is used for
-    timestamps without an offset.
+    timestamps without an offset. With ``route`` only the rows of that route are
+    typed and judged; all others, unreadable lines among them, leave after the parse.
 
     The numeric leaves travel as two arrays, which makes the range checks one
     minimum and one maximum.
@@ -132,12 +132,17 @@ def flatten(lines: DataFrame, value: str = "value", zone: str = "UTC") -> DataFr
     parsed = lines.select(*others, F.col(value).alias("line"), jv.parse_document(F.col(value)).alias("_parsed"))
     documents = parsed.select(
         *keep,
-        F.when(jv.is_single_document(F.col("_parsed")), jv.document(F.col("_parsed"))).alias("_doc"),
+        F.when(jv.is_single_document(F.col("_parsed"), F.col("line")), jv.document(F.col("_parsed"))).alias("_doc"),
     )
     records = documents.select(
         *keep, "_doc", F.try_variant_get(F.col("_doc"), "$", _ddl(_TREE)).alias("_rec")
     )
 
+    if route is not None:
+        # Marked, so that Spark does not copy the parse into a pushed-down filter.
+        routed = records.select("*", evaluate_once(_route()).alias("_route"))
+        records = routed.where(F.col("_route") == route).drop("_route")
+
     shape = (
         F.when(F.col("_doc").isNull(), "json")
         .when(F.col("_rec").isNull(), "not_object")
@@ -150,7 +155,7 @@ def flatten(lines: DataFrame, value: str = "value", zone: str = "UTC") -> DataFr
     held = records.select(
         *keep,
         "_doc",
-        _route().alias("route"),
+        (_route() if route is None else F.lit(route)).alias("route"),
         shape.alias("_shape"),
         any_of([jv.not_text(leaf) for leaf in texts.values()]).alias("_wrong_text"),
         *[jv.plain_numbers(refs).alias(f"_{t}s") for t, refs in numbers.items()],

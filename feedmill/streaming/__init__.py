@@ -16,7 +16,7 @@ def _trigger(every: str | None) -> dict:
 
 def critical_rows(lines: DataFrame, enriched: bool = False, zone: str = "UTC") -> DataFrame:
     """Good rows that carry diagnostics, from a streaming (or batch) frame of lines."""
-    return telemetry.accepted(telemetry.flatten(lines, zone=zone), telemetry.STREAM, enriched)
+    return telemetry.accepted(telemetry.flatten(lines, zone=zone, route=telemetry.STREAM), telemetry.STREAM, enriched)
 
 
 def start_critical(
