@@ -36,7 +36,7 @@ CHANGE_COST = 3
 #: Words of benchmark items in one block of the index: some 32 bytes each and mask.
 BLOCK_WORDS = 500_000
 FILTER_BITS = 22
-KNOWN_WORDS = 600_000
+KNOWN_WORDS = 150_000
 
 _PLAIN = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b > 127 else 32 for b in range(256)

@@ -43,7 +43,7 @@ BROADCAST_IDS = 2_000_000
 #: Most classes and n-grams in one block of a group.
 BLOCK_SETS = 1024
 BLOCK_GRAMS = 1_000_000
-KNOWN_WORDS = 600_000
+KNOWN_WORDS = 150_000
 #: In sets of fewer n-grams than this, all count towards frequencies.
 SMALL = 128
 ROWS_AT_ONCE = 500
