@@ -36,7 +36,14 @@ def main() -> None:
         lines = stream_lines(spark, args.input_path)
     if args.rejects_path:
         query = start_split(
-            lines, {STREAM: args.output_path}, args.rejects_path, args.checkpoint_path, args.every, args.enriched, args.zone
+            lines,
+            {STREAM: args.output_path},
+            args.rejects_path,
+            args.checkpoint_path,
+            args.every,
+            args.enriched,
+            args.zone,
+            args.shards,
         )
     else:
         query = start_critical(

@@ -54,13 +54,15 @@ def start_split(
     every: str | None = None,
     enriched: bool = False,
     zone: str = "UTC",
+    shards: int | None = None,
 ) -> StreamingQuery:
     """Write each named route and the rejects from one parse per micro-batch.
 
     ``outputs`` maps a route to its folder. A batch writes to its own
     ``batch_id=N`` folders and overwrites them when it is run again after a
     failure, so every line lands exactly once. Readers of a folder see
-    ``batch_id`` as a partition column.
+    ``batch_id`` as a partition column. ``shards`` fixes the files of a route per
+    micro-batch.
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
@@ -68,7 +70,7 @@ def start_split(
         try:
             for route, folder in outputs.items():
                 good = telemetry.accepted(rows, route, enriched)
-                write_parquet(good, f"{folder}/batch_id={batch_id}", mode="overwrite")
+                write_parquet(good, f"{folder}/batch_id={batch_id}", shards=shards, mode="overwrite")
             write_parquet(telemetry.rejected(rows), f"{rejects}/batch_id={batch_id}", mode="overwrite")
         finally:
             rows.unpersist()

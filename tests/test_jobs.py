@@ -43,9 +43,11 @@ def test_batch_job_streams_and_split_agree(spark, tmp_path):
     critical.awaitTermination()
     outputs = {route: str(tmp_path / f"split-{route}") for route in ("batch", "stream")}
     split = start_split(
-        stream_lines(spark, str(feed), max_files=1), outputs, str(tmp_path / "split-rejects"), str(tmp_path / "c2")
+        stream_lines(spark, str(feed), max_files=1), outputs, str(tmp_path / "split-rejects"), str(tmp_path / "c2"), shards=1
     )
     split.awaitTermination()
+    for folder in (tmp_path / "split-stream").glob("batch_id=*"):
+        assert len(list(folder.glob("*.parquet"))) == 1
     assert _bag(read_parquet(spark, outputs["batch"])) == _bag(read_parquet(spark, str(tmp_path / "batch")))
     assert _bag(read_parquet(spark, outputs["stream"])) == _bag(read_parquet(spark, str(tmp_path / "critical")))
     assert read_parquet(spark, str(tmp_path / "critical")).count() == outcome["stream"]
