@@ -33,7 +33,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedmill.llm.common import bind, discard, land
@@ -46,6 +46,9 @@ BLOCK_GRAMS = 1_000_000
 KNOWN_WORDS = 150_000
 #: In sets of fewer n-grams than this, all count towards frequencies.
 SMALL = 128
+#: Share of rows looked at for frequent n-grams, and the most of these there can be.
+FREQUENT_SAMPLE = 1 / 64
+MOST_FREQUENT = 10_000
 ROWS_AT_ONCE = 500
 #: Cells of a membership matrix held at a time.
 CELLS = 8_000_000
@@ -334,6 +337,38 @@ def _sampled(gram: Column, rule: Rule) -> Column:
     return gram.bitwiseAND(F.lit(0xFFFF)) < share
 
 
+def _frequent(listed: DataFrame) -> DataFrame:
+    """N-grams with over ``1 / MOST_FREQUENT`` of the postings of a sample of rows: fewer than that many.
+
+    Which they are decides only how postings travel, not what comes out.
+    """
+    chosen = listed.select("sent").sample(FREQUENT_SAMPLE, seed=0)
+    total = chosen.agg(F.sum(F.size("sent"))).first()[0] or 0
+    counted = chosen.select(F.explode("sent").alias("gram")).groupBy("gram").count()
+    return land(counted.where(F.col("count") * MOST_FREQUENT > total).select("gram"), "jaccard-frequent")
+
+
+def _shared(listed: DataFrame) -> DataFrame:
+    """``key, gram, df, leader`` of postings whose n-gram several classes hold.
+
+    ``df`` counts rows, copies too: the order only needs it to depend on the
+    n-gram alone. Postings are shuffled once, by n-gram, and counted where they
+    lie. Frequent n-grams would fill single tasks there; those are counted by
+    partial aggregation and their counts broadcast back to the postings.
+    """
+    postings = listed.select("key", F.explode("sent").alias("gram"))
+    frequent = F.broadcast(_frequent(listed))  # fewer than MOST_FREQUENT rows
+    count = {"df": F.count(F.lit(1)), "leader": F.min("key"), "last": F.max("key")}
+    by_gram = Window.partitionBy("gram")
+    rare = postings.join(frequent, "gram", "left_anti").select(
+        "key", "gram", *[of.over(by_gram).alias(name) for name, of in count.items()]
+    )
+    common = postings.join(frequent, "gram")
+    totals = common.groupBy("gram").agg(*[of.alias(name) for name, of in count.items()])
+    both = rare.unionByName(common.join(F.broadcast(totals), "gram"))
+    return both.where("leader <> last").drop("last")
+
+
 def link(docs: DataFrame, rule: Rule = Rule(), text: str = "text") -> DataFrame:
     """Per row: ``doc_id, n_shingles, component_id, n_links``.
 
@@ -346,25 +381,10 @@ def link(docs: DataFrame, rule: Rule = Rule(), text: str = "text") -> DataFrame:
     source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     rows = land(source.mapInArrow(_describe(rule), _ROWS), "jaccard-rows")
 
-    classes = (
-        rows.where("node IS NOT NULL AND doc_id IS NOT NULL")
-        .groupBy("node", "level")
-        .agg(
-            F.min("doc_id").alias("rep"),
-            F.count(F.lit(1)).alias("copies"),
-            F.first("n").alias("n"),
-            F.first("counted").alias("counted"),
-            F.first("sent").alias("sent"),
-        )
-    )
-    # Two numbers to a row, as there are many: the class at its level, and the n-gram.
-    classes = classes.withColumn("key", F.xxhash64("node", "level"))
-    postings = classes.select("key", F.explode("sent").alias("gram"))
-    shared = (
-        postings.groupBy("gram").agg(F.count(F.lit(1)).alias("df"), F.min("key").alias("leader")).where("df > 1")
-    )
-    met = postings.join(shared, "gram").groupBy("key").agg(F.collect_list(F.struct("df", "gram", "leader")).alias("met"))
-    about = classes.select("key", "node", "level", "n", "counted")
+    # Two numbers to a posting, as there are many: the class at its level, and the n-gram.
+    listed = rows.where("node IS NOT NULL AND doc_id IS NOT NULL").withColumn("key", F.xxhash64("node", "level"))
+    met = _shared(listed).groupBy("key").agg(F.collect_set(F.struct("df", "gram", "leader")).alias("met"))
+    about = listed.groupBy("key", "node", "level").agg(F.first("n").alias("n"), F.first("counted").alias("counted"))
     ranked = F.sort_array(
         F.transform("met", lambda x: F.struct((~_sampled(x["gram"], rule)).alias("late"), x["df"].alias("df"), x["gram"].alias("gram"), x["leader"].alias("leader")))
     )
@@ -372,7 +392,7 @@ def link(docs: DataFrame, rule: Rule = Rule(), text: str = "text") -> DataFrame:
     size = F.col("n") - F.ceil(F.col("n") * rule.percent / 100) + 1
 
     def first(g: Column) -> Column:
-        # N-grams that occur once come first in the order and take their part of the prefix.
+        # N-grams of this class alone come first in the order and take their part of the prefix.
         once = F.col("counted") - F.size(F.filter(g, lambda x: ~x["late"]))
         return bind(size - once, lambda room: F.filter(g, lambda x, i: x["late"] | (i < room)))
 
@@ -410,15 +430,14 @@ def link(docs: DataFrame, rule: Rule = Rule(), text: str = "text") -> DataFrame:
     texts = pick(source, taken.select(F.col("rep").alias("doc_id")).distinct(), ["doc_id"], "left_semi").select("text")
     # An id may have several texts; only wanted sets go on, each once.
     sets = texts.mapInArrow(_sets(rule), "node binary, grams binary").groupBy("node").agg(F.first("grams").alias("grams"))
-    taking = land(taken.join(sets, "node"), "jaccard-sets")
-
-    meetings = dealt.join(taking, "node")
+    # Sets lie by node after this, so what follows on the node moves none of them again.
+    meetings = dealt.join(taken.join(sets, "node"), "node")
     sorted_ = meetings.repartition(*_GROUP).sortWithinPartitions(*_GROUP).select(
         *_GROUP, "block", "n", "prefix", "leaders", "rep", "copies", "grams"
     )
     found = land(sorted_.mapInArrow(_verify(rule), "u bigint, v bigint, n_links bigint"), "jaccard-links")
 
-    discard(live, dealt, taken, taking)
+    discard(live, dealt, taken)
 
     degree = found.groupBy(F.col("u").alias("rep")).agg(F.sum("n_links").alias("others"))
     roots = components(found).select(F.col("id").alias("rep"), "root")
