@@ -226,8 +226,8 @@ def judge(docs: DataFrame, text: str = "text", carry: list[str] | None = None) -
 def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
     """The input rows that are kept, with the input's columns.
 
-    Reads the texts twice, for the fit and for the verdicts, instead of keeping
-    a second copy of the corpus in between.
+    Rows are landed with their votes: one pass counts, and neither the fit nor the
+    verdicts work the counts out again.
     """
-    seen = voted(docs, text)
+    seen = land(voted(docs, text), "quality-votes")
     return verdicts(seen, fit(seen)).where("kept").select("row.*")
