@@ -26,6 +26,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedmill.llm.common import land
+
 #: At most this many labelled rows of each class are fitted on, the least by a hash of the id.
 ROWS_PER_CLASS = 1200
 #: Bytes of a dictionary and of a text's block, for each pair.
@@ -35,6 +37,8 @@ THRESHOLD = 0.7
 HELD_OUT = 2
 #: A row longer than this many bytes is not fitted on (it is scored like any other).
 LONGEST_FITTED = 64 * 1024
+#: With fewer labelled rows of a class the two cannot be told apart, and nothing is rejected.
+LEAST_ROWS = 20
 
 
 #: Bytes to their shape: a small letter (or any byte beyond ASCII), a capital, a digit, or as they are.
@@ -121,8 +125,9 @@ def train(rows: list[tuple[str, int]], weights: tuple[float, float]) -> Model:
     """A model from (text, label) rows; ``weights``: how many corpus rows stand for a bad and a good one.
 
     Every other row of a class builds its dictionaries, the rest fit the curve.
-    Without rows of both classes every text gets the same score: the share of
-    good labels, or a half if there are no labels at all.
+    With fewer than ``LEAST_ROWS`` rows of a class nothing is rejected: every text
+    gets the same score, the share of good labels, or just above the threshold if
+    that is more.
     """
     of = {c: [text for text, y in rows if y == c] for c in (0, 1)}
     pairs = tuple((dictionary(of[1][::2], size), dictionary(of[0][::2], size)) for size, _ in PAIRS)
@@ -131,8 +136,9 @@ def train(rows: list[tuple[str, int]], weights: tuple[float, float]) -> Model:
     share = min(0.999, max(0.001, weights[1] / total)) if total else 0.5
     prior = float(np.log(share / (1 - share)))
     y = np.array([c for _, c in rest], dtype=float)
-    if len(set(y)) < 2:
-        return Model(pairs, (0.0,) * len(PAIRS), prior)
+    if min(len(of[0]), len(of[1])) < LEAST_ROWS:
+        passing = THRESHOLD + 1e-6
+        return Model(pairs, (0.0,) * len(PAIRS), max(prior, float(np.log(passing / (1 - passing)))))
     slopes, offset = logistic(np.array([differences(text, pairs) for text, _ in rest]), y)
     # The sample is even-handed between the classes; the corpus is not.
     seen = y.mean()
@@ -140,13 +146,15 @@ def train(rows: list[tuple[str, int]], weights: tuple[float, float]) -> Model:
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    """Learn from labelled rows outside the held-out fold.
+    """Learn from labelled rows of ``docs`` outside the held-out fold.
 
     Rows without a label or id, and ids whose labels disagree, are not fitted
-    on. Equal rows of an id count once. The counts of labels are over all rows.
+    on. Equal rows of an id count once. Only labels of ids in ``docs`` are counted
+    and chosen from, so sample and counts both describe the rows to be scored.
     """
     marks = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     marks = marks.groupBy("doc_id").agg(F.min("quality").alias("y"), F.max("quality").alias("y2")).where("y = y2").drop("y2")
+    marks = land(marks.join(docs.select("doc_id").distinct(), "doc_id", "left_semi"), "classifier-labels")
     totals = {r["y"]: r["count"] for r in marks.groupBy("y").count().collect()}
     order = F.xxhash64("doc_id", F.lit("fit"))
     fold = [marks.where(F.col("y") == y).orderBy(order, "doc_id").limit(ROWS_PER_CLASS) for y in (0, 1)]

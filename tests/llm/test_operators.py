@@ -177,6 +177,26 @@ def test_classifier(docs, none, spark):
     assert compression.score(none, compression.fit(none, labels.limit(0))).count() == 0
 
 
+def test_classifier_learns_from_the_labels_of_its_own_input(spark):
+    """Counts and sample leave out labels of rows that an earlier stage dropped."""
+    rows = [(i, prose(i, 80)) for i in range(400)] + [(1000 + i, prose(i, 80).replace(" ", "*** ")) for i in range(60)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    gone = [(10_000 + i, 0) for i in range(20_000)]
+    labels = spark.createDataFrame([(i, int(i < 1000)) for i, _ in rows] + gone, "doc_id long, quality int")
+    assert compression.fit(table, labels) == compression.fit(table, labels.where("doc_id < 10000"))
+    kept = {r.doc_id for r in compression.score(table, compression.fit(table, labels)).where("predicted = 1").select("row.doc_id").collect()}
+    assert len([i for i in kept if i < 1000]) >= 396 and len([i for i in kept if i >= 1000]) <= 3
+
+
+@pytest.mark.parametrize("n_good, n_bad", [(400, 0), (400, 2), (3, 2), (0, 0)])
+def test_classifier_rejects_nothing_with_hardly_any_bad_rows(spark, n_good, n_bad):
+    rows = [(i, prose(i, 80)) for i in range(400)] + [(1000 + i, prose(i, 80).replace(" ", "*** ")) for i in range(n_bad)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = [(i, 1) for i in range(n_good)] + [(1000 + i, 0) for i in range(n_bad)] + [(10_000 + i, 0) for i in range(900)]
+    model = compression.fit(table, spark.createDataFrame(marks, "doc_id long, quality int"))
+    assert compression.score(table, model).where("predicted = 1").count() == len(rows)
+
+
 def test_token_counts_and_cache(docs, none, spark, monkeypatch):
     import sentencepiece
 
