@@ -24,15 +24,16 @@ from pyspark.sql import functions as F
 
 from feedmill.llm.common import land
 
-#: Places looked at (1) and passed over (0). Every place is passed over by some mask.
-MASKS = ("110110111011", "101101110111", "111011011101")
-SPAN = len(MASKS[0])
-#: Items of fewer words than a window are matched whole; below this many words, never.
+#: Items of fewer words than ``LEAST_EQUAL`` are matched whole; below this many words, never.
 SHORTEST_ITEM = 5
 #: Words that must agree in a verified overlap (or the whole item, if that is shorter).
 LEAST_EQUAL = 10
 #: What a changed word costs against an equal one: an overlap has at least three quarters equal words.
 CHANGE_COST = 3
+#: Places looked at (1) and passed over (0). Every verified overlap of LEAST_EQUAL words ends in a window of
+#: one of these: all its tails are worth more than nothing, so it ends in 7 or more equal words, or in 6, 5 or
+#: 4 that follow a single change, with at least 1, 2 or 3 equal words before that.
+MASKS = ("1111111", "10111111", "11011111", "11101111")
 #: Words of benchmark items in one block of the index: some 32 bytes each and mask.
 BLOCK_WORDS = 500_000
 FILTER_BITS = 22
@@ -41,7 +42,7 @@ KNOWN_WORDS = 150_000
 _PLAIN = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b > 127 else 32 for b in range(256)
 )
-_ODD = np.random.default_rng(20240229).integers(2**62, 2**63, SPAN, dtype=np.uint64) | np.uint64(1)
+_ODD = np.random.default_rng(20240229).integers(2**62, 2**63, LEAST_EQUAL, dtype=np.uint64) | np.uint64(1)
 
 SPANS = "array<struct<item_id:bigint,first_word:bigint,n_words:bigint,n_equal:bigint>>"
 
@@ -84,12 +85,13 @@ class Index:
     def __init__(self, items: list[tuple[int, str]]) -> None:
         self.ids = [i for i, _ in items]
         self.words = [word_hashes(text) for _, text in items]
-        short = sorted({len(w) for w in self.words if SHORTEST_ITEM <= len(w) < SPAN})
+        short = sorted({len(w) for w in self.words if SHORTEST_ITEM <= len(w) < LEAST_EQUAL})
         self.masks = [*MASKS, *("1" * n for n in short)]
         found, owners, places = [], [], []
         for number, words in enumerate(self.words):
             for salt, mask in enumerate(self.masks):
-                if len(mask) == SPAN or len(mask) == len(words):
+                whole = salt >= len(MASKS)
+                if whole == (len(words) < LEAST_EQUAL) and (not whole or len(mask) == len(words)):
                     found.append(made := seeds(words, mask, salt))
                     owners.append(np.full(len(made), number, dtype=np.int64))
                     places.append(np.arange(len(made), dtype=np.int64))

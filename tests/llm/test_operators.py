@@ -316,6 +316,46 @@ def test_decontamination(docs, none, spark):
     assert len(parts) > 1 and sorted(i for p in parts for i, _ in p) == [1, 2, 4]
 
 
+def changes():
+    """Change patterns of items: all of 10 to 14 words, every n-th word at each phase, and random ones of 38 words."""
+    for n in range(10, 15):
+        yield from (tuple(i >> k & 1 for k in range(n)) for i in range(2**n))
+    for n in (15, 38, 55):
+        for step in range(2, 12):
+            yield from (tuple(int(k % step == phase) for k in range(n)) for phase in range(step))
+    pick = random.Random(3)
+    yield from (tuple(int(pick.random() < share) for _ in range(38)) for share in (0.1, 0.2, 0.25, 0.3) for _ in range(1500))
+
+
+def test_every_overlap_that_is_accepted_has_a_hit():
+    words = [f"w{k}" for k in range(55)]
+    index = {n: contamination.Index([(1, " ".join(words[:n]))]) for n in [*range(10, 16), 38, 55]}
+    item = contamination.word_hashes(" ".join(words))
+    other = contamination.word_hashes(" ".join(f"x{k}" for k in range(55)))
+    accepted, missed = 0, []
+    for pattern in changes():
+        n = len(pattern)
+        changed = np.where(np.array(pattern, dtype=bool), other[:n], item[:n])
+        if contamination.overlap(changed, item[:n], 0)[2] >= contamination.LEAST_EQUAL:
+            accepted += 1
+            if not index[n].candidates(changed):
+                missed.append(pattern)
+    assert accepted > 3000 and not missed
+
+
+def test_excerpts_and_short_items_are_found():
+    words = [f"w{k}" for k in range(38)]
+    index = contamination.Index([(1, " ".join(words)), (2, " ".join(f"s{k}" for k in range(11))), (3, " ".join(f"t{k}" for k in range(7)))])
+    around = " ".join(f"y{k}" for k in range(20))
+
+    def found(part):
+        return [(i, equal) for i, *_, equal in contamination.passages(f"{around} {' '.join(part)} {around}", index)]
+
+    assert all(found(words[k : k + n]) == [(1, n)] for n in (10, 11) for k in range(38 - n))
+    assert all(found([f"s{j}" if j != k else "zz" for j in range(11)]) == [(2, 10)] for k in (0, 4, 5, 6, 10))
+    assert found([f"t{k}" for k in range(7)]) == [(3, 7)] and found([f"t{k}" for k in range(6)]) == []
+
+
 def test_pipeline_runs_and_keeps_the_columns(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     columns, before = docs.columns, docs.count()
