@@ -7,7 +7,10 @@ punctuation a node are worked out, smoothed along the page over neighbouring
 nodes, and fused by multiplication; paths above a threshold are content. The
 elements that HTML itself sets aside (navigation, forms, scripts, elements named
 as adverts, and so on) take no part. The article is then the smallest element
-around the content, read whole, so that its headings and one-word paragraphs stay.
+around the content, read whole but for blocks of links on other paths, so that its
+headings and one-word paragraphs stay. Where <article> or <main> elements hold half
+of the content or more, those that hold content are read instead; which nodes are
+content is up to the paths on every page.
 
 One page is one row; nothing is grouped across rows.
 """
@@ -15,6 +18,7 @@ One page is one row; nothing is grouped across rows.
 from __future__ import annotations
 
 import html
+import os.path
 import re
 from collections.abc import Iterator
 
@@ -36,6 +40,8 @@ INLINE = frozenset(
     "strong sub sup time tt u var wbr".split()
 )
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Elements that hold a piece of an article, never all of it.
+PARTS = HEADINGS | frozenset("p li dt dd blockquote pre figcaption".split())
 CLOSES_P = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header "
     "hr main menu nav ol p pre section table ul".split()
@@ -201,6 +207,22 @@ def content_paths(blocks: list[tuple[str, tuple[int, ...], str, int]]) -> set[st
     return {path for path, value in best.items() if value >= line and chars[path] > 0}
 
 
+def _tag(block: tuple[str, tuple[int, ...], str, int]) -> str:
+    return block[0].rsplit("/", 1)[-1]
+
+
+def _around(page: _Page, content: list[int]) -> set[int]:
+    """The elements to read: the articles, if they hold half of the content or more, or else the smallest around it all."""
+    blocks, articles = page.blocks, set(page.articles)
+    held = [i for i in content if not articles.isdisjoint(blocks[i][1])]
+    if 2 * sum(len(blocks[i][2]) for i in held) >= sum(len(blocks[i][2]) for i in content):
+        return {n for i in held for n in blocks[i][1] if n in articles}
+    around = os.path.commonprefix([blocks[i][1] for i in content])
+    while page.tags[around[-1]] in PARTS:
+        around = around[:-1]
+    return {around[-1]}
+
+
 def main_text(source: str | None) -> str:
     """The article's text; empty for a null, empty or textless page."""
     if not source:
@@ -209,30 +231,21 @@ def main_text(source: str | None) -> str:
     blocks = page.blocks
     if not blocks:
         return ""
-    marked = {n for n in page.articles if any(n in chain for _, chain, _, _ in blocks)}
-    if marked:
-        blocks = [b for b in blocks if not marked.isdisjoint(b[1])]
     chosen = content_paths(blocks)
     content = [i for i, b in enumerate(blocks) if b[0] in chosen]
     if not content:
         return ""
-    if marked:
-        # Articles that hold no content (teasers, lists of links) go; the others are read whole.
-        held = {n for i in content for n in blocks[i][1] if n in marked}
-        return " ".join(b[2] for b in blocks if not held.isdisjoint(b[1]))
-    around = blocks[content[0]][1]
-    for i in content[1:]:
-        k = 0
-        while k < min(len(around), len(blocks[i][1])) and around[k] == blocks[i][1][k]:
-            k += 1
-        around = around[:k]
-    first, last = content[0], content[-1]
-    while first > 0 and blocks[first - 1][0].rsplit("/", 1)[-1] in HEADINGS:
+    around = _around(page, content)
+    near = [not around.isdisjoint(chain) for _, chain, _, _ in blocks]
+    first = start = near.index(True)
+    while first > 0 and around.isdisjoint(page.articles) and _tag(blocks[first - 1]) in HEADINGS:
         first -= 1
+    picked = set(content)
     kept = []
-    for i, (path, chain, text, link) in enumerate(blocks):
-        inside = chain[: len(around)] == around or i < content[0]
-        if i in content or (first <= i <= last and inside and 2 * link <= len(text)):
+    for i, block in enumerate(blocks):
+        _, _, text, link = block
+        plain = 2 * link <= len(text) or _tag(block) in HEADINGS
+        if (i in picked and near[i]) or (plain and (near[i] or first <= i < start)):
             kept.append(text)
     return " ".join(kept)
 

@@ -300,6 +300,24 @@ def test_html_text(spark):
     assert html_text.extract(pages.limit(0)).count() == 0
 
 
+PROSE = "A long one, with text, and more of it; so it goes on, and on."
+NODES = {
+    # No <article>: what leads and trails in the element around the content stays, links and other elements go.
+    f"<div><a href=/>Home</a></div><div><div>By me</div><p>{PROSE}</p><p>{PROSE}</p><ul><li><a>more</a></li></ul><div>The end</div></div><div>(c) x</div>": f"By me {PROSE} {PROSE} The end",
+    f"<div><h2>T</h2><p>{PROSE}</p><div>Bye</div></div><div><ul><li><a>b</a></li><li><a>c</a></li></ul></div>": f"T {PROSE} Bye",
+    f"<table><tr><td><ul><li><a>b</a></li></ul></td><td><p>{PROSE}</p><p>To.</p>End</td></tr></table>": f"{PROSE} To. End",
+    # An <article> that holds teasers only does not win over the text outside it.
+    f"<article><a>Teaser</a></article><div><p>{PROSE}</p><p>{PROSE}</p></div><article><a>Other</a></article>": f"{PROSE} {PROSE}",
+    # Links in an <article> on a path of their own are not content; links among its paragraphs are.
+    f"<article><h1><a>T</a></h1><p>{PROSE}</p><p><a>See this</a></p><ul><li><a>b</a></li><li><a>c</a></li></ul><div>End</div></article><div>x</div>": f"T {PROSE} See this End",
+    f"<main><h1>T</h1><p>{PROSE}</p><div><a>b</a></div><p>To.</p></main>": f"T {PROSE} To.",
+}
+
+
+def test_html_paths_pick_the_content():
+    assert {page: html_text.main_text(page) for page in NODES} == NODES
+
+
 def test_decontamination(docs, none, spark):
     item = prose(50, 30)
     changed = item.split()
