@@ -61,10 +61,13 @@ class WordEncoder:
 
     @staticmethod
     def _words(text: str) -> list[str]:
-        # Letters of ASCII are lowered by the tokenizer anyway; beyond ASCII that is left to it.
-        if text.isascii():
-            text = text.lower()
-        return text.replace("\n", " ").split(" ")
+        # Letters of ASCII are lowered by the tokenizer anyway; beyond ASCII that is left to it,
+        # and so are words with special strings (<|...|>), which it takes in small letters only.
+        if not text.isascii():
+            return text.replace("\n", " ").split(" ")
+        if "<|" not in text:
+            return text.lower().replace("\n", " ").split(" ")
+        return [w if "<|" in w else w.lower() for w in text.replace("\n", " ").split(" ")]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [self._words(text) for text in texts]

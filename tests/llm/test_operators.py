@@ -246,6 +246,15 @@ def test_words_beyond_ascii_are_encoded_as_by_the_library():
     assert [np.frombuffer(x, "<u4").tolist() for x in got] == [library.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_special_strings_in_capitals_are_encoded_as_by_the_library():
+    from tokenizers import Tokenizer
+
+    texts = ["a <|ENDOFTEXT|> b", "A <|endoftext|> B", "x<|EndOfText|>y <|STARTOFTEXT|>.", "A <| B |> C"]
+    library = Tokenizer.from_file(WORD)
+    got = packing.WordEncoder(WORD).encode(texts)
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 64, 1000])
 def test_feistel_is_a_permutation(n):
     out = training_order.permute(np.arange(n), n, 99)
