@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 from feedmill.llm import (
     compression,
     contamination,
+    fill_in_middle,
+    filter_audit,
     html_text,
     jaccard,
     licenses,
     packing,
     quality_rules,
+    sentence_pieces,
     token_counts,
     training_order,
     warc,
@@ -91,6 +94,40 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.overlaps(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle.transform(documents(spark, sf_dir).select("doc_id", "text"))
+    restored = fill_in_middle.restore(F.col("fim.output"), F.col("fim.form"))
+    return made.select(
+        "row.doc_id",
+        "fim.n",
+        "fim.form",
+        "fim.prefix_chars",
+        "fim.middle_chars",
+        F.sha2("fim.output", 256).alias("output_sha256"),
+        F.sha2(restored, 256).alias("restored_sha256"),
+    )
+
+
+def op12_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces with an end id; ``covered_bytes`` is where the last piece's span ends."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    pieces = sentence_pieces.encode(documents(spark, sf_dir), model)
+    ids = F.array_append("ids", F.lit(sentence_pieces.END))
+    rows = pieces.select("doc_id", ids.alias("ids"), F.coalesce(F.try_element_at("ends", F.lit(-1)), F.lit(0)).alias("covered_bytes"))
+    return rows.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2(sentence_pieces.decode(spark, F.col("ids"), model), 256).alias("decoded_sha256"),
+        F.col("covered_bytes").cast("bigint").alias("covered_bytes"),
+    )
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return filter_audit.audit(filter_audit.histogram(documents(spark, sf_dir), labels))
+
+
 QUERIES = {
     "op1_compression_classifier": op1_compression_classifier,
     "op2_warc": op2_warc,
@@ -102,4 +139,7 @@ QUERIES = {
     "op8_training_order": op8_training_order,
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_decontamination": op10_decontamination,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_sentence_pieces": op12_sentence_pieces,
+    "op13_filter_audit": op13_filter_audit,
 }
