@@ -13,23 +13,29 @@ from __future__ import annotations
 import functools
 import os
 import zlib
-from array import array
 from collections.abc import Callable, Iterator
 from itertools import batched
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import SparkFiles, TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedmill.llm.common import land
+from feedmill.llm.ragged import Made, Memory, gather
 from feedmill.llm.token_counts import ship
 
 WINDOW = 4096
 END = 2
 #: Words that a worker remembers the ids of.
-CACHE_WORDS = 600_000
-WORDS_AT_ONCE = 50_000
+CACHE_WORDS = 300_000
+#: Words that the library gets as one text.
+WORDS_AT_ONCE = 1000
+WORD_END = "</w>"
+#: Words of letters that the tokenizer keeps together and lowers one by one, with a mark behind them or not.
+PLAIN = "^[A-Za-zÀ-ÖØ-öø-ÿ]+[.,]?$"
 TOKEN_BYTES = 4
 
 _STREAM = "doc_id bigint, doc_tokens bigint, ids binary, part int, at bigint"
@@ -43,11 +49,12 @@ ROWS_AT_ONCE = 500
 
 
 class WordEncoder:
-    """Ids of texts as unsigned 32-bit little-endian bytes, through the library, word by word.
+    """Ids of texts through the library, word by word.
 
     The tokenizer splits at white space before anything else and drops it, so the
-    ids of a text are those of its words in order. Words come back often; the
-    library sees each once per worker, for as long as the worker remembers it.
+    ids of a text are those of its words in order. Arrow cuts a batch into words
+    and numbers the distinct ones; the library sees each once per worker, for as
+    long as the worker remembers it.
     """
 
     def __init__(self, path: str) -> None:
@@ -57,35 +64,73 @@ class WordEncoder:
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.no_truncation()
         self._tokenizer.no_padding()
-        self._known: dict[str, bytes] = {"": b""}
-
-    @staticmethod
-    def _words(text: str) -> list[str]:
-        # Letters of ASCII are lowered by the tokenizer anyway; beyond ASCII that is left to it,
-        # and so are words with special strings (<|...|>), which it takes in small letters only.
-        if not text.isascii():
-            return text.replace("\n", " ").split(" ")
-        if "<|" not in text:
-            return text.lower().replace("\n", " ").split(" ")
-        return [w if "<|" in w else w.lower() for w in text.replace("\n", " ").split(" ")]
+        vocabulary = self._tokenizer.get_vocab()
+        # Ids that end a run of letters, if the vocabulary marks them.
+        self._ends = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
+        self._ends[[i for piece, i in vocabulary.items() if piece.endswith(WORD_END)]] = True
+        self._marks = {m: self._tokenizer.encode(m, add_special_tokens=False).ids for m in ".,"}
+        self._memory = Memory(CACHE_WORDS, self._make)
+
+    def _each(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [f.ids for f in self._tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        return np.array([i for ids in found for i in ids], dtype=np.uint32), np.array([len(ids) for ids in found], dtype=np.int64)
+
+    def _joined(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Words of plain letters, many in one text: each ends where an id that ends a word stands."""
+        made = []
+        for some in batched(words, WORDS_AT_ONCE):
+            (found,) = self._tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)
+            ids = np.array(found.ids, dtype=np.uint32)
+            ends = np.flatnonzero(self._ends[ids]) + 1
+            told = len(ends) == len(some) and ends[-1] == len(ids)
+            made.append((ids, np.diff(ends, prepend=0)) if told else self._each(list(some)))
+        return tuple(np.concatenate(x) for x in zip(*made))
+
+    def _make(self, words: list[str]) -> Made:
+        every = pa.array(words, pa.string())
+        plain = pc.match_substring_regex(every, PLAIN).to_numpy(zero_copy_only=False)
+        order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
+        ids, count = self._each([words[k] for k in np.flatnonzero(~plain)])
+        if plain.any():
+            # A full stop or comma behind letters alone is a token of its own.
+            letters = every.filter(pa.array(plain))
+            stems = pc.utf8_rtrim(letters, ".,").dictionary_encode()
+            which = stems.indices.to_numpy()
+            found, size = self._joined(stems.dictionary.to_pylist())
+            size_of = size[which]
+            found = gather(found, (np.cumsum(size) - size)[which], size_of)
+            ends = np.cumsum(size_of)
+            for mark, number in self._marks.items():
+                marked = pc.ends_with(letters, mark).to_numpy(zero_copy_only=False)
+                found = np.insert(found, ends[marked], number)
+                size_of = size_of + marked
+                ends = np.cumsum(size_of)
+            ids, count = np.concatenate([found, ids]), np.concatenate([size_of, count])
+        return order, ids, count
+
+    def encode_rows(self, texts: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Offsets of the texts in the row of all their ids, each text's ``end`` behind it if there is one."""
+        texts = pc.replace_substring(texts.cast(pa.large_string()), "\n", " ")
+        words = (lists := pc.split_pattern(texts, " ")).flatten()
+        # Words of ASCII are lowered by the tokenizer anyway; not so special strings (<|...|>), which it
+        # takes in small letters only. Beyond ASCII that is left to it.
+        lowered = pc.and_not(pc.string_is_ascii(words), pc.match_substring(words, "<|"))
+        words = pc.if_else(lowered, pc.ascii_lower(words), words)
+        coded = words.dictionary_encode()
+        which, distinct = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        numbers = self._memory.numbers(distinct, np.bincount(which, minlength=len(distinct)))
+        ids, count = self._memory.gather(numbers[which])
+        borders = np.concatenate([[0], np.cumsum(count)])
+        offsets = borders[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+        if end is not None:
+            ids = np.insert(ids, offsets[1:], end)
+            offsets = offsets + np.arange(len(offsets))
+        return offsets, ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [self._words(text) for text in texts]
-        words: set[str] = set()
-        for of in split:
-            words.update(of)
-        if len(self._known) + len(words) > CACHE_WORDS:
-            self._known = {"": b""}
-        fresh = words.difference(self._known)
-        # A full stop or comma behind letters alone is a token of its own.
-        ended = [w for w in fresh if w[-1] in ".," and w[:-1].isalpha()]
-        plain = fresh.difference(ended).union([w[:-1] for w in ended], ".,").difference(self._known)
-        for some in batched(plain, WORDS_AT_ONCE):
-            for word, found in zip(some, self._tokenizer.encode_batch_fast(list(some), add_special_tokens=False)):
-                self._known[word] = array("I", found.ids).tobytes()
-        for word in ended:
-            self._known[word] = self._known[word[:-1]] + self._known[word[-1]]
-        return [b"".join(map(self._known.__getitem__, of)) for of in split]
+        """The ids of each text as unsigned 32-bit little-endian bytes."""
+        offsets, ids = self.encode_rows(pa.array(texts, pa.string()))
+        return [ids[lo:hi].astype("<u4").tobytes() for lo, hi in zip(offsets, offsets[1:])]
 
 
 @functools.lru_cache(maxsize=1)
@@ -94,29 +139,24 @@ def word_encoder(path: str) -> WordEncoder:
 
 
 def _encode(name: str, end: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    last = array("I", [end]).tobytes()
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, at = word_encoder(SparkFiles.get(name)), TaskContext.get().partitionId(), 0
         for batch in batches:
             for lo in range(0, batch.num_rows, ROWS_AT_ONCE):
                 rows = batch.slice(lo, ROWS_AT_ONCE)
-                ids = [x + last for x in encoder.encode(rows.column("text").to_pylist())]
-                sizes = [len(x) // TOKEN_BYTES for x in ids]
-                starts = []
-                for n in sizes:
-                    starts.append(at)
-                    at += n
+                offsets, ids = encoder.encode_rows(rows.column("text"), end)
+                data = [None, pa.py_buffer((offsets * TOKEN_BYTES).astype(np.int32)), pa.py_buffer(ids.astype("<u4"))]
                 yield pa.RecordBatch.from_arrays(
                     [
                         rows.column("doc_id"),
-                        pa.array(sizes, pa.int64()),
-                        pa.array(ids, pa.binary()),
-                        pa.array([part] * len(ids), pa.int32()),
-                        pa.array(starts, pa.int64()),
+                        pa.array(np.diff(offsets), pa.int64()),
+                        pa.Array.from_buffers(pa.binary(), rows.num_rows, data),
+                        pa.array([part] * rows.num_rows, pa.int32()),
+                        pa.array(at + offsets[:-1], pa.int64()),
                     ],
                     ["doc_id", "doc_tokens", "ids", "part", "at"],
                 )
+                at += len(ids)
 
     return run
 

@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from feedmill.llm.ragged import Made, Memory
 from feedmill.llm.token_counts import ship
 
 SPACE = "▁"
@@ -36,7 +37,7 @@ PIECE, TRAINER, NORMALIZER = 1, 2, 3
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 BPE = 2
 #: Cuts that a worker remembers.
-KNOWN_CUTS = 300_000
+KNOWN_CUTS = 150_000
 ROWS_AT_ONCE = 200
 #: The id that ends a text.
 END = 2
@@ -202,13 +203,7 @@ class Model:
             self._cut = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
         else:
             self._cut = re.compile(f"{SPACE}+[^{SPACE}\n]*|\n|[^{SPACE}\n]+")
-        self._forget()
-
-    def _forget(self) -> None:
-        """Empty the memory of cuts: their numbers, and by number where their ids lie in one long array."""
-        self._known: dict[str, int] = {}
-        self._start, self._count = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-        self._all = np.zeros(0, dtype=np.int32)
+        self._memory = Memory(KNOWN_CUTS, self._make)
 
     def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The rank of each pair of ids, ``NONE`` where it is no piece."""
@@ -222,6 +217,8 @@ class Model:
         In every round each cut joins one pair, that with the best score, the left
         one of equals; cuts without a pair that is a piece are finished.
         """
+        if not cuts:
+            return np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.int64)
         points = np.frombuffer("".join(cuts).encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
         size = np.array([len(c) for c in cuts])
         # Unknown characters are below zero.
@@ -257,7 +254,7 @@ class Model:
             spelt = [[i] if i >= 0 else [self._bytes[b] for b in chr(-1 - i).encode()] for i in ids.tolist()]
             owner = np.repeat(owner, [len(s) for s in spelt])
             ids = np.array([i for s in spelt for i in s])
-        return ids.astype(np.int32), np.bincount(owner, minlength=len(cuts))
+        return ids.astype(np.uint32), np.bincount(owner, minlength=len(cuts))
 
     def _long(self, cut: str) -> list[int]:
         """Ids of a long cut, by a heap of its pairs."""
@@ -291,24 +288,14 @@ class Model:
             out.extend([number] if number is not None else [self._bytes[b] for b in part.encode()])
         return out
 
-    def _numbers(self, cuts: list[str]) -> np.ndarray:
-        """A number for every cut; new ones are merged."""
-        if len(self._known) > KNOWN_CUTS:
-            self._forget()
-        fresh = set(cuts).difference(self._known)
-        short = [c for c in fresh if len(c) <= SHORT_CUT]
-        if short:
-            self._remember(short, *self._merge(short))
-        for cut in fresh.difference(short) if len(short) < len(fresh) else ():
-            ids = self._long(cut)
-            self._remember([cut], np.array(ids, dtype=np.int32), np.array([len(ids)]))
-        return np.fromiter(map(self._known.__getitem__, cuts), dtype=np.int64, count=len(cuts))
-
-    def _remember(self, cuts: list[str], ids: np.ndarray, count: np.ndarray) -> None:
-        first = len(self._all) + np.cumsum(count) - count
-        self._known.update(zip(cuts, range(len(self._known), len(self._known) + len(cuts))))
-        self._start, self._count = np.append(self._start, first), np.append(self._count, count)
-        self._all = np.append(self._all, ids)
+    def _make(self, cuts: list[str]) -> Made:
+        long = np.array([len(c) > SHORT_CUT for c in cuts])
+        order = np.concatenate([np.flatnonzero(~long), np.flatnonzero(long)])
+        ids, count = self._merge([cuts[k] for k in np.flatnonzero(~long)])
+        for k in np.flatnonzero(long):
+            made = self._long(cuts[k])
+            ids, count = np.append(ids, np.array(made, dtype=np.uint32)), np.append(count, len(made))
+        return order, ids, count
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """``offsets`` of the texts in ``ids``, ``starts`` and ``ends``: each piece and its byte span in its text."""
@@ -318,12 +305,13 @@ class Model:
             found = self._cut.findall(text)
             cuts += found
             per_text.append(len(found))
-        numbers = self._numbers(cuts)
-        count = self._count[numbers]
-        ends = np.cumsum(count)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self._all[np.arange(total) + np.repeat(self._start[numbers] - (ends - count), count)]
-        borders = np.concatenate([[0], ends])
+        coded = pa.array(cuts, pa.string()).dictionary_encode()
+        which = coded.indices.to_numpy()
+        distinct = coded.dictionary.to_pylist()
+        numbers = self._memory.numbers(distinct, np.bincount(which, minlength=len(distinct)))
+        ids, count = self._memory.gather(numbers[which])
+        total = len(ids)
+        borders = np.concatenate([[0], np.cumsum(count)])
         offsets = borders[np.concatenate([[0], np.cumsum(per_text)]).astype(np.int64)]
         # Borders of pieces in each normalised text, and from there to the source.
         size = np.concatenate([[0], np.cumsum(self.size[ids], dtype=np.int64)])

@@ -75,9 +75,7 @@ def _encode(name: str, folder: str, end: int, width: int) -> Callable[[Iterator[
         path, total, out = f"{folder}/{part:08d}-{uuid.uuid4().hex}.tokens", 0, None
         for batch in batches:
             for lo in range(0, batch.num_rows, ROWS_AT_ONCE):
-                texts = batch.slice(lo, ROWS_AT_ONCE).column("text").to_pylist()
-                mark = np.array([end], dtype="<u4").tobytes()
-                ids = np.frombuffer(b"".join(x + mark for x in encoder.encode(texts)), dtype="<u4")
+                _, ids = encoder.encode_rows(batch.slice(lo, ROWS_AT_ONCE).column("text"), end)
                 if width < 4 and ids.max(initial=0) >= 1 << (8 * width):
                     raise ValueError("a token id does not fit the width of the shards")
                 out = out or create(path)

@@ -122,7 +122,7 @@ def test_memory_of_cuts_is_bounded_and_its_loss_harmless(monkeypatch):
     for k in range(20):
         text = prose(k, 60)
         assert model.encode([text])[1].tolist() == library.encode(text)
-        assert len(model._known) <= 50 + 61
+        assert len(model._memory.known) <= 50 + 61
 
 
 @pytest.mark.parametrize("rule", ["nmt_nfkc", "nfkc", "nfkc_cf", "nmt_nfkc_cf"])
@@ -238,3 +238,40 @@ def test_intervals_cover_the_orders_in_which_a_mask_goes(k):
                 step[rank] = at
         for rank, order in enumerate(by_rank):
             assert step.get(rank) == next((s for s, letter in enumerate(order) if mask >> letter & 1), None)
+
+
+def test_every_text_of_a_table_is_encoded_by_words_as_by_the_library():
+    import numpy as np
+    import pyarrow.parquet as pq
+    from tokenizers import Tokenizer
+
+    from feedmill.llm import packing
+    from tests.llm.test_operators import WORD
+
+    texts = [t or "" for t in pq.read_table("/root/testdata/sf0.1/documents.parquet", columns=["text"])["text"].to_pylist()]
+    texts += ["x<|ENDOFTEXT|>y A. B, c., É. .,a", "Aa <|endoftext|> BB", "ÀÉ×÷ µª. ŁŹ, å é.", "don't, IT'S. 's 12. a1, --."]
+    library, ours, got = Tokenizer.from_file(WORD), packing.WordEncoder(WORD), []
+    for lo in range(0, len(texts), 500):
+        got += ours.encode(texts[lo : lo + 500])
+    for lo in range(0, len(texts), 500):
+        want = library.encode_batch_fast(texts[lo : lo + 500], add_special_tokens=False)
+        assert all(w.ids == np.frombuffer(g, "<u4").tolist() for w, g in zip(want, got[lo : lo + 500]))
+
+
+def test_the_rarer_half_of_a_memory_is_forgotten():
+    import numpy as np
+
+    from feedmill.llm.ragged import Memory
+
+    def make(words):
+        order = np.arange(len(words))[::-1]
+        spelt = [[ord(c) for c in words[k]] for k in order]
+        return order, np.array([c for s in spelt for c in s], dtype=np.uint32), np.array([len(s) for s in spelt])
+
+    memory = Memory(8, make)
+    for k in range(200):
+        words = ["often", "usual", f"rare{k}", "é" * (k % 5), f"x{k % 50}"][: 3 + k % 3]
+        numbers = memory.numbers(words, np.array([9, 8, 1, 1, 1])[: len(words)])
+        ids, count = memory.gather(numbers)
+        assert "".join(map(chr, ids)) == "".join(words) and count.tolist() == [len(w) for w in words]
+        assert len(memory.known) <= 8 + 5 and {"often", "usual"} <= set(memory.known)
