@@ -11,18 +11,20 @@ share one. Candidates must do so under three orders at once:
    (those come first in the order, the rest follow by hash), which keeps the
    shuffle a fraction of the corpus; a set that has too few of them for its
    prefix adds the next ones of the order.
-2. and 3. two different hash orders, worked out from the sets where candidates
-   meet.
+2. and 3. two different hash orders, worked out for the sets that are left. Their
+   prefixes travel as 32-bit hashes: equal ones are a candidate, never a result.
 
-What passes all three and the sizes is verified on the whole sets.
+Only sets with a partner that passes all three and the sizes are sent whole, to be
+verified.
 
 Sets that are equal are one class and enter once. Classes that share a prefix
 n-gram meet in the group of that n-gram's leader, the least class (by a hash)
 that holds it; near copies share most leaders, so a class goes to few groups. A
 large group is cut into blocks, every two of which meet in one task: no task
-holds more than two blocks, and pairs are never written out. A task returns each
-class's number of links and a spanning forest of them, which small- and
-large-star rounds turn into components.
+holds more than two blocks, and pairs are never written out. They meet twice, with
+their prefixes for the filters and, as far as these leave them a partner, with
+their sets. A task returns each class's number of links and a spanning forest of
+them, which small- and large-star rounds turn into components.
 """
 
 from __future__ import annotations
@@ -36,6 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from feedmill.functions.barrier import evaluate_once
 from feedmill.llm.common import bind, discard, land
 
 #: Ids up to this many are broadcast to pick their rows; more are joined by a shuffle.
@@ -53,6 +56,8 @@ ROWS_AT_ONCE = 500
 #: Cells of a membership matrix held at a time.
 CELLS = 8_000_000
 
+Batches = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _U = np.uint64
 _ODD = tuple(_U(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93))
@@ -138,7 +143,7 @@ def _sent(found: np.ndarray, level: int, rule: Rule) -> tuple[int, np.ndarray]:
 _ROWS = "doc_id bigint, n bigint, node binary, level int, counted int, sent array<bigint>, main boolean"
 
 
-def _describe(rule: Rule) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _describe(rule: Rule) -> Batches:
     kinds = [pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.bool_()]
     names = ["doc_id", "n", "node", "level", "counted", "sent", "main"]
 
@@ -165,7 +170,9 @@ def _describe(rule: Rule) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
     return run
 
 
-def _sets(rule: Rule) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _sets(rule: Rule) -> Batches:
+    """The set of each text."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, ROWS_AT_ONCE):
@@ -176,6 +183,22 @@ def _sets(rule: Rule) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
     return run
 
 
+def _orders(rule: Rule) -> Batches:
+    """The prefixes of each text's set under the two hash orders."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, ROWS_AT_ONCE):
+                found = [grams(t, rule.n) for t in batch.slice(lo, ROWS_AT_ONCE).column("text").to_pylist()]
+                firsts = [
+                    [_first(g, odd, int(rule.prefix(len(g)))).astype(np.uint32).tobytes() for g in found] for odd in _ODD[1:3]
+                ]
+                columns = [[_node(g) for g in found], *firsts]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in columns], ["node", "second", "third"])
+
+    return run
+
+
 def _membership(lists: list[np.ndarray]) -> np.ndarray:
     """How many members any two lists share, by products of membership matrices, some columns at a time."""
     m = len(lists)
@@ -204,35 +227,28 @@ def _membership(lists: list[np.ndarray]) -> np.ndarray:
 def _first(found: np.ndarray, odd: np.uint64, size: int) -> np.ndarray:
     """The prefix under the hash order of ``odd``."""
     keys = _mix(found, odd)
-    return np.partition(keys, size - 1)[:size] if size < len(keys) else keys
+    return np.partition(keys, size - 1)[:size] if 0 < size < len(keys) else keys
 
 
-def _links(level, leader, block, across, size, prefix, leaders, sets, rule: Rule) -> np.ndarray:
-    """Which rows of a group link, as a matrix: each pair in one group of one level only."""
-    m = len(size)
+def _in_charge(level, leader, block, across, size, leaders, rule: Rule) -> np.ndarray:
+    """Which pairs of a group can link by their sizes and are looked at here, in one group of one level only."""
     small, large = np.minimum.outer(size, size), np.maximum.outer(size, size)
     ok = 100 * small >= rule.percent * large
-    ok &= np.not_equal.outer(block, block) if across else ~np.eye(m, dtype=bool)
+    ok &= np.not_equal.outer(block, block) if across else ~np.eye(len(size), dtype=bool)
     # The level of a pair is that of its larger set; below it no pair is looked at twice.
     ok &= large >= (1 << level)
     # Two rows meet in the group of every leader they share; the least of them is in charge.
     ok &= _membership([x[x < leader] for x in leaders]) == 0
-    if ok.any():
-        ok &= _membership(prefix) > 0
-    for odd in _ODD[1:3]:
-        if not ok.any():
-            break
-        live = np.flatnonzero(ok.any(axis=1))
-        part = _membership([_first(sets[i], odd, int(rule.prefix(int(size[i])))) for i in live]) > 0
-        ok[np.ix_(live, live)] &= part
-    if ok.any():
-        live = np.flatnonzero(ok.any(axis=1))
-        shared = _membership([sets[i] for i in live])
-        union = np.add.outer(size[live], size[live]) - shared
-        ok[np.ix_(live, live)] &= 100 * shared.astype(np.int64) >= rule.percent * union.astype(np.int64)
     return ok
 
 
+def _narrow(ok: np.ndarray, keep: Callable[[np.ndarray], np.ndarray]) -> None:
+    """Intersect ``ok`` with ``keep(rows)``, worked out for the rows that still have a partner."""
+    live = np.flatnonzero(ok.any(axis=1))
+    if len(live):
+        ok[np.ix_(live, live)] &= keep(live)
+
+
 def _forest(ok: np.ndarray) -> np.ndarray:
     """The least row that each row reaches."""
     label = np.arange(len(ok))
@@ -246,39 +262,19 @@ def _forest(ok: np.ndarray) -> np.ndarray:
 
 
 _GROUP = ("level", "leader", "low", "high")
+_LIVE = "node binary, level int, leader bigint, low bigint, high bigint, block bigint, n bigint, leaders array<bigint>"
 
 
-def _verify(rule: Rule) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Rows come sorted by group; a group may lie in several batches."""
-
-    def group(table: pa.Table) -> tuple[list, list, list]:
-        col = {c: table.column(c).combine_chunks() for c in table.column_names}
-        size = col["n"].to_numpy()
-        lists = {c: [np.array(x, dtype=np.int64) for x in col[c].to_pylist()] for c in ("prefix", "leaders")}
-        sets = [np.frombuffer(x, dtype=np.uint64) for x in col["grams"].to_pylist()]
-        level, leader = col["level"][0].as_py(), col["leader"][0].as_py()
-        across = col["low"][0].as_py() != col["high"][0].as_py()
-        ok = _links(
-            level, leader, col["block"].to_numpy(), across, size, lists["prefix"], lists["leaders"], sets, rule
-        )
-        linked = np.flatnonzero(ok.any(axis=1))
-        if not len(linked):
-            return [], [], []
-        rep, copies = col["rep"].to_numpy(), col["copies"].to_numpy()
-        root = _forest(ok)
-        return rep[linked].tolist(), rep[root[linked]].tolist(), (ok[linked] @ copies).tolist()
+def _by_group(work: Callable[[pa.Table], pa.Table | None]) -> Batches:
+    """``work`` on each group of two rows or more. Rows come sorted by group; a group may lie in several batches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
         key = None
 
         def close() -> Iterator[pa.RecordBatch]:
-            if held and sum(t.num_rows for t in held) > 1:
-                u, v, links = group(pa.concat_tables(held))
-                if u:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(x, pa.int64()) for x in (u, v, links)], ["u", "v", "n_links"]
-                    )
+            if sum(t.num_rows for t in held) > 1 and (out := work(pa.concat_tables(held).combine_chunks())) is not None:
+                yield from out.to_batches()
             held.clear()
 
         for batch in batches:
@@ -297,6 +293,55 @@ def _verify(rule: Rule) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
     return run
 
 
+def _lists(table: pa.Table, name: str) -> list[np.ndarray]:
+    return [np.array(x, dtype=np.int64) for x in table.column(name).to_pylist()]
+
+
+def _bytes(table: pa.Table, name: str, kind: type) -> list[np.ndarray]:
+    return [np.frombuffer(x, dtype=kind) for x in table.column(name).to_pylist()]
+
+
+def _charge_of(table: pa.Table, rule: Rule) -> np.ndarray:
+    level, leader, low, high = (table.column(c)[0].as_py() for c in _GROUP)
+    block, size = table.column("block").to_numpy(), table.column("n").to_numpy()
+    return _in_charge(level, leader, block, low != high, size, _lists(table, "leaders"), rule)
+
+
+def _candidates(rule: Rule) -> Batches:
+    """Rows of a group that share a prefix n-gram with one and the same other row under all three orders."""
+
+    def work(table: pa.Table) -> pa.Table | None:
+        ok = _charge_of(table, rule)
+        if ok.any():
+            firsts = (_lists(table, "prefix"), _bytes(table, "second", np.uint32), _bytes(table, "third", np.uint32))
+            for prefixes in firsts:
+                _narrow(ok, lambda live: _membership([prefixes[i] for i in live]) > 0)
+        live = np.flatnonzero(ok.any(axis=1))
+        return table.take(live).select([c.split()[0] for c in _LIVE.split(", ")]) if len(live) else None
+
+    return _by_group(work)
+
+
+def _verify(rule: Rule) -> Batches:
+    def work(table: pa.Table) -> pa.Table | None:
+        ok, size = _charge_of(table, rule), table.column("n").to_numpy()
+        sets = _bytes(table, "grams", np.uint64)
+
+        def alike(live: np.ndarray) -> np.ndarray:
+            shared = _membership([sets[i] for i in live])
+            union = np.add.outer(size[live], size[live]) - shared
+            return 100 * shared.astype(np.int64) >= rule.percent * union.astype(np.int64)
+
+        _narrow(ok, alike)
+        linked = np.flatnonzero(ok.any(axis=1))
+        if not len(linked):
+            return None
+        rep, copies = table.column("rep").to_numpy(), table.column("copies").to_numpy()
+        return pa.table({"u": rep[linked], "v": rep[_forest(ok)[linked]], "n_links": ok[linked] @ copies})
+
+    return _by_group(work)
+
+
 def pick(rows: DataFrame, ids: DataFrame, on: list[str], how: str) -> DataFrame:
     """A semi or anti join that broadcasts the ids if they are few, and shuffles both sides if not."""
     few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
@@ -357,15 +402,19 @@ def _shared(listed: DataFrame) -> DataFrame:
     partial aggregation and their counts broadcast back to the postings.
     """
     postings = listed.select("key", F.explode("sent").alias("gram"))
-    frequent = F.broadcast(_frequent(listed))  # fewer than MOST_FREQUENT rows
     count = {"df": F.count(F.lit(1)), "leader": F.min("key"), "last": F.max("key")}
+
+    def looked_up(known: DataFrame) -> DataFrame:
+        """Postings with a match in ``known`` or nulls, as many as before: a left join that stays one."""
+        found = postings.join(F.broadcast(known.withColumn("often", F.lit(True))), "gram", "left")
+        return found.withColumn("often", evaluate_once(F.coalesce("often", F.lit(False))))
+
+    often = looked_up(_frequent(listed)).where("often")  # fewer than MOST_FREQUENT n-grams
+    totals = often.groupBy("gram").agg(*[of.alias(name) for name, of in count.items()])
+    told = looked_up(totals)
     by_gram = Window.partitionBy("gram")
-    rare = postings.join(frequent, "gram", "left_anti").select(
-        "key", "gram", *[of.over(by_gram).alias(name) for name, of in count.items()]
-    )
-    common = postings.join(frequent, "gram")
-    totals = common.groupBy("gram").agg(*[of.alias(name) for name, of in count.items()])
-    both = rare.unionByName(common.join(F.broadcast(totals), "gram"))
+    rare = told.where("NOT often").select("key", "gram", *[of.over(by_gram).alias(name) for name, of in count.items()])
+    both = rare.unionByName(told.where("often").select("key", "gram", *count))
     return both.where("leader <> last").drop("last")
 
 
@@ -421,23 +470,37 @@ def link(docs: DataFrame, rule: Rule = Rule(), text: str = "text") -> DataFrame:
     dealt = land(dealt, "jaccard-meetings")
 
     # One row stands for each class: the texts of these are read again, the others are not.
-    wanted = dealt.select("node").distinct()
     reps = rows.where("main AND node IS NOT NULL AND doc_id IS NOT NULL").groupBy("node").agg(
         F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")
     )
     reps = land(reps, "jaccard-classes")
-    taken = land(reps.join(wanted, "node", "left_semi"), "jaccard-taking")
-    texts = pick(source, taken.select(F.col("rep").alias("doc_id")).distinct(), ["doc_id"], "left_semi").select("text")
+
+    def texts(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The classes of these nodes, landed, and the texts of the rows that stand for them."""
+        taken = land(reps.join(nodes.select("node").distinct(), "node", "left_semi"), "jaccard-taking")
+        ids = taken.select(F.col("rep").alias("doc_id")).distinct()
+        return taken, pick(source, ids, ["doc_id"], "left_semi").select("text")
+
+    def met_in_groups(rows: DataFrame) -> DataFrame:
+        return rows.repartition(*_GROUP).sortWithinPartitions(*_GROUP)
+
     # An id may have several texts; only wanted sets go on, each once.
-    sets = texts.mapInArrow(_sets(rule), "node binary, grams binary").groupBy("node").agg(F.first("grams").alias("grams"))
-    # Sets lie by node after this, so what follows on the node moves none of them again.
-    meetings = dealt.join(taken.join(sets, "node"), "node")
-    sorted_ = meetings.repartition(*_GROUP).sortWithinPartitions(*_GROUP).select(
-        *_GROUP, "block", "n", "prefix", "leaders", "rep", "copies", "grams"
+    asked, asked_texts = texts(dealt)
+    firsts = asked_texts.mapInArrow(_orders(rule), "node binary, second binary, third binary")
+    firsts = firsts.groupBy("node").agg(F.first("second").alias("second"), F.first("third").alias("third"))
+    passed = met_in_groups(dealt.join(firsts, "node")).select(
+        *_GROUP, "node", "block", "n", "prefix", "leaders", "second", "third"
+    )
+    passed = land(passed.mapInArrow(_candidates(rule), _LIVE), "jaccard-candidates")
+
+    taken, taken_texts = texts(passed)
+    sets = taken_texts.mapInArrow(_sets(rule), "node binary, grams binary").groupBy("node").agg(F.first("grams").alias("grams"))
+    whole = met_in_groups(passed.join(taken.join(sets, "node"), "node")).select(
+        *_GROUP, "block", "n", "leaders", "rep", "copies", "grams"
     )
-    found = land(sorted_.mapInArrow(_verify(rule), "u bigint, v bigint, n_links bigint"), "jaccard-links")
+    found = land(whole.mapInArrow(_verify(rule), "u bigint, v bigint, n_links bigint"), "jaccard-links")
 
-    discard(live, dealt, taken)
+    discard(live, dealt, asked, passed, taken)
 
     degree = found.groupBy(F.col("u").alias("rep")).agg(F.sum("n_links").alias("others"))
     roots = components(found).select(F.col("id").alias("rep"), "root")
@@ -460,13 +523,22 @@ def _answer(rows: DataFrame, named: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
-    """One row of each component: that of its least id. Rows without an id stay."""
-    linked = land(link(docs, rule).select("doc_id", "component_id"), "jaccard-components")
+    """One row of each component: that of its least id. Rows without an id stay.
+
+    Where an id has several texts, rows are told apart by id and text, and the one
+    with the least hash of both stays of each component.
+    """
+    body = F.xxhash64(F.coalesce("text", F.lit("")))
+    texts = docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(body).alias("a"), F.max(body).alias("b"))
+    clash = not texts.where("a <> b").isEmpty()
+    own = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "text")) if clash else F.col("doc_id").cast("bigint")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), own.alias("doc_id"), F.col("text"))
+    linked = land(link(rows.select("doc_id", "text"), rule).select("doc_id", "component_id"), "jaccard-components")
     dropped = land(linked.where("doc_id <> component_id").select("doc_id").distinct(), "jaccard-dropped")
-    left = pick(docs, dropped, ["doc_id"], "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    left = pick(rows.select("row", "doc_id"), dropped, ["doc_id"], "left_anti")
     again = linked.groupBy("doc_id").count().where("doc_id IS NOT NULL AND count > 1").select("doc_id")
     again = land(again, "jaccard-repeated")
-    if again.isEmpty():
-        return left
-    once = pick(left, again, ["doc_id"], "left_anti")
-    return once.unionByName(pick(left, again, ["doc_id"], "left_semi").dropDuplicates(["doc_id"])).select(*docs.columns)
+    if not again.isEmpty():
+        once = pick(left, again, ["doc_id"], "left_semi").dropDuplicates(["doc_id"])
+        left = pick(left, again, ["doc_id"], "left_anti").unionByName(once)
+    return left.select("row.*")

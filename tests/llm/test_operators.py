@@ -390,3 +390,9 @@ def test_pipeline_runs_and_keeps_the_columns(spark):
         docs = stage(spark, docs, "/root/testdata/sf0.001")
         assert docs.columns == columns
     assert 0 < docs.count() < before
+
+
+def test_texts_that_share_an_id_are_told_apart(spark):
+    rows = [(1, "a b c d e f g"), (1, "t u v w x y z k l m"), (2, "t u v w x y z k l m"), (2, "t u v w x y z k l m"), (3, prose(9, 40)), (None, "t u")]
+    kept = collections.Counter(r.text for r in jaccard.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert kept == collections.Counter({text for _, text in rows})
