@@ -8,8 +8,10 @@ Every query runs the library over a raw feed that Spark makes from the whole
 from __future__ import annotations
 
 import importlib.util
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,7 +23,7 @@ from feedmill.plans import engagement_batch, quake_convert, telemetry_batch
 from feedmill.session import prepare, scratch_dir
 from feedmill.sinks import kafka_messages, write_json_lines
 from feedmill.sources import read_avro, read_lines, read_parquet, read_quake_csv, stream_lines
-from feedmill.streaming import start_critical, start_split
+from feedmill.streaming import published, start_critical, start_split
 
 
 def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,6 +70,60 @@ def telemetry_stream_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _zone_free(parts[0].unionByName(parts[1]))
 
 
+def _published(spark: SparkSession, sf_dir: str) -> str:
+    """The feed published in several batches, the stream stopped twice on the way and restarted from its checkpoint.
+
+    It stops when the second batch is written but not committed, and when the
+    third is committed but its run not finished.
+    """
+    prepare(spark)
+    root, state = scratch_dir(spark, "published"), scratch_dir(spark, "published-state")
+    folder = feeds.feed_folder(spark, sf_dir, "telemetry")
+
+    def run(stop: tuple[str, int] | None) -> None:
+        def step(name: str, batch_id: int) -> None:
+            if (name, batch_id) == stop:
+                raise InterruptedError(f"stopped when batch {batch_id} was {name}")
+
+        try:
+            lines = stream_lines(spark, folder, max_files=2)
+            published.start_published(lines, root, state, step=step).awaitTermination()
+        except StreamingQueryException as error:
+            if stop is None or "InterruptedError" not in str(error):
+                raise
+
+    for stop in (("written", 1), ("committed", 2), None):
+        run(stop)
+    return root
+
+
+def _both_routes(spark: SparkSession, root: str) -> DataFrame:
+    parts = [
+        published.read_published(spark, root, route).withColumn("route", F.lit(route))
+        for route in (telemetry.BATCH, telemetry.STREAM)
+    ]
+    return _zone_free(parts[0].unionByName(parts[1]))
+
+
+def telemetry_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both routes as readers see them after a stream that died and was restarted."""
+    return _both_routes(spark, _published(spark, sf_dir))
+
+
+def telemetry_published_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rejects of the same stream, counted."""
+    rows = published.read_published(spark, _published(spark, sf_dir), published.REJECTS)
+    return reject_counts(rows).na.fill({"route": "none"})
+
+
+def telemetry_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both routes after the stream's small files were rewritten, and the old ones deleted."""
+    root = _published(spark, sf_dir)
+    published.compact(spark, root)
+    published.vacuum(spark, root, older_than_s=-1)
+    return _both_routes(spark, root)
+
+
 def telemetry_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = telemetry.accepted(_rows(spark, sf_dir), enriched=True)
     return _zone_free(rows.withColumn("status_flags", F.array_join("status_flags", ",")))
@@ -124,6 +180,28 @@ def quakes_parquet_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quakes.parquet_rows(read_quake_csv(spark, csv))
 
 
+@contextmanager
+def _scan_ranges(spark: SparkSession, kilobytes: int) -> Iterator[None]:
+    """Scan tasks of about this size, so that small files have many ranges."""
+    sizes = {"maxPartitionBytes": f"{kilobytes}k", "openCostInBytes": f"{kilobytes}k"}
+    before = {key: spark.conf.get(f"spark.sql.files.{key}") for key in sizes}
+    for key, value in sizes.items():
+        spark.conf.set(f"spark.sql.files.{key}", value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(f"spark.sql.files.{key}", value)
+
+
+def quakes_split_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV with quoted line breaks, converted by many tasks a file; read back from the Parquet output."""
+    csv = feeds.feed_folder(prepare(spark), sf_dir, "quakes3")
+    with _scan_ranges(spark, 64):
+        path = quake_convert.convert(spark, csv, scratch_dir(spark, "quake-split"), "parquet", "SNAPPY", split=True)
+    return read_parquet(spark, path)
+
+
 def _quake_avro_output(rows: DataFrame) -> DataFrame:
     return rows.withColumn("UTC_Date_ms", F.unix_millis("UTC_Date")).drop("UTC_Date")
 
@@ -187,6 +265,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "telemetry_flat_batch": telemetry_flat_batch,
         "telemetry_flat_stream": telemetry_flat_stream,
         "telemetry_stream_split": telemetry_stream_split,
+        "telemetry_published": telemetry_published,
+        "telemetry_published_rejects": telemetry_published_rejects,
+        "telemetry_compacted": telemetry_compacted,
         "telemetry_enriched": telemetry_enriched,
         "telemetry_routes": telemetry_routes,
         "telemetry_rejects": telemetry_rejects,
@@ -196,6 +277,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fan_rejects": fan_rejects,
         "fan_avro_roundtrip": fan_avro_roundtrip,
         "quakes_parquet_rows": quakes_parquet_rows,
+        "quakes_split_csv": quakes_split_csv,
         "quakes_avro_rows": quakes_avro_rows,
         "quakes_avro_roundtrip": quakes_avro_roundtrip,
         "quakes_matrix": quakes_matrix,

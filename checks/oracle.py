@@ -240,6 +240,11 @@ ORACLES: dict[str, str] = {
     "telemetry_flat_batch": _flat("batch"),
     "telemetry_flat_stream": _flat("stream"),
     "telemetry_stream_split": f"{_TELEMETRY} SELECT {_NAMES}, route FROM flat",
+    "telemetry_published": f"{_TELEMETRY} SELECT {_NAMES}, route FROM flat",
+    "telemetry_compacted": f"{_TELEMETRY} SELECT {_NAMES}, route FROM flat",
+    "telemetry_published_rejects": f"""{_TELEMETRY}
+SELECT reason, coalesce(route, 'none') AS route, count(*) AS rows FROM judged
+WHERE reason IS NOT NULL GROUP BY ALL""",
     "telemetry_enriched": _ENRICHED,
     "telemetry_routes": _ROUTES,
     "telemetry_rejects": f"""{_TELEMETRY}
@@ -251,6 +256,7 @@ WHERE reason IS NOT NULL GROUP BY ALL""",
     "fan_rejects": f"{_FAN} SELECT reason, count(*) AS rows FROM judged WHERE reason IS NOT NULL GROUP BY ALL",
     "fan_avro_roundtrip": _FAN_VALID,
     "quakes_parquet_rows": _QUAKES_PARQUET,
+    "quakes_split_csv": _QUAKES_PARQUET,
     "quakes_avro_rows": _QUAKES_AVRO,
     "quakes_avro_roundtrip": _QUAKES_AVRO,
     "quakes_matrix": _per_codec(

@@ -38,10 +38,11 @@ def convert(
     zone: str = "UTC",
     multi_line: bool = True,
     mode: str = "errorifexists",
+    split: bool = False,
 ) -> str:
     """One input to one output; gives the output's path."""
     prepare(spark)
-    rows = _project(read_quake_csv(spark, input_path, multi_line), extension, zone)
+    rows = _project(read_quake_csv(spark, input_path, multi_line, split), extension, zone)
     path = output_name(input_path, output_folder, codec, extension)
     return writer(extension, codec, QUAKE_AVRO, mode)(rows, path)
 
@@ -54,6 +55,7 @@ def convert_all(
     zone: str = "UTC",
     multi_line: bool = True,
     mode: str = "errorifexists",
+    split: bool = False,
 ) -> list[Output]:
     """Every input under every conversion.
 
@@ -64,7 +66,7 @@ def convert_all(
     prepare(spark)
     outputs = []
     for input_path in input_paths:
-        source = read_quake_csv(spark, input_path, multi_line)
+        source = read_quake_csv(spark, input_path, multi_line, split)
         typed: dict[str, DataFrame] = {}
         for extension, codec in conversions:
             if extension not in typed:
@@ -83,11 +85,12 @@ def main() -> None:
     parser.add_argument("--output_path", required=True)
     parser.add_argument("--zone", default="UTC", help="zone of UTC_Date texts without an offset (Avro only)")
     parser.add_argument("--single_line", action="store_true", help="no quoted line breaks: files may be split")
+    parser.add_argument("--split", action="store_true", help="large files with quoted line breaks: many tasks a file")
     parser.add_argument("--manifest_path")
     args = parser.parse_args()
     spark = SparkSession.builder.appName("quake-convert").getOrCreate()
     outputs = convert_all(
-        spark, args.input_path, args.output_path, zone=args.zone, multi_line=not args.single_line
+        spark, args.input_path, args.output_path, zone=args.zone, multi_line=not args.single_line, split=args.split
     )
     for output in outputs:
         print(output.path)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedmill.schemas import QUAKE_COLUMNS
+from feedmill.sources import quoted_csv
 
 # The class behind format("avro"). Naming it works with and without the
 # separately shipped module that registers the short name.
@@ -54,14 +55,19 @@ def stream_kafka_lines(spark: SparkSession, servers: str, topic: str, starting:
     return messages.select(utf8_text(F.col("value")).alias("value"))
 
 
-def read_quake_csv(spark: SparkSession, paths: str | list[str], multi_line: bool = True) -> DataFrame:
+def read_quake_csv(
+    spark: SparkSession, paths: str | list[str], multi_line: bool = True, split: bool = False
+) -> DataFrame:
     """Earthquake CSV as text columns, picked by header name.
 
-    Quoted fields may hold line breaks, which makes each file one task. For
-    large files without such fields ``multi_line=False`` lets Spark split them.
+    Quoted fields may hold line breaks, which makes each file one task. With
+    ``split`` many tasks read a file all the same (``quoted_csv``), in two scans;
+    for files without such fields ``multi_line=False`` lets Spark split them in one.
     Files read together must share one header (the job stops if one differs);
     other columns are ignored.
     """
+    if split:
+        return quoted_csv.read_quoted_csv(spark, paths).select(*QUAKE_COLUMNS)
     rows = (
         spark.read.option("header", True)
         .option("multiLine", multi_line)
