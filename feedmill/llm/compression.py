@@ -37,8 +37,13 @@ THRESHOLD = 0.7
 HELD_OUT = 2
 #: A row longer than this many bytes is not fitted on (it is scored like any other).
 LONGEST_FITTED = 64 * 1024
-#: With fewer labelled rows of a class the two cannot be told apart, and nothing is rejected.
-LEAST_ROWS = 20
+#: Bytes that a text gives to a dictionary, at least.
+LEAST_SHARE = 48
+#: The belief without labels, in standard deviations of a pair's number and in log odds: a text that
+#: the good dictionary makes smaller is a little likelier good, and nearly all are good. It weighs as
+#: much as so many rows.
+START_SLOPE, START_OFFSET, START_ROWS = 0.1, 3.5, 2.0
+START_SCALE = 0.05
 
 
 #: Bytes to their shape: a small letter (or any byte beyond ASCII), a capital, a digit, or as they are.
@@ -90,18 +95,19 @@ def probability(x: np.ndarray, slopes: tuple[float, ...], offset: float) -> np.n
     return 1 / (1 + np.exp(-np.clip(x @ np.array(slopes) + offset, -50, 50)))
 
 
-def logistic(x: np.ndarray, y: np.ndarray, rounds: int = 50) -> tuple[np.ndarray, float]:
-    """Slopes and offset by Newton's method, held back a little by a ridge."""
-    scale = x.std(axis=0)
-    scale[scale == 0] = 1.0
+def logistic(x: np.ndarray, y: np.ndarray, rounds: int = 200) -> tuple[np.ndarray, float]:
+    """Slopes and offset by Newton's method, drawn to the starting belief; with few rows they stay near it."""
+    scale = x.std(axis=0) if len(x) else np.zeros(x.shape[1])
+    scale[scale == 0] = START_SCALE
     z = np.column_stack([x / scale, np.ones(len(x))])
-    w = np.zeros(z.shape[1])
-    ridge = np.full(z.shape[1], 1e-1)
+    start = np.array([START_SLOPE] * x.shape[1] + [START_OFFSET])
+    w = start.copy()
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -50, 50)))
-        grad = z.T @ (p - y) + ridge * w
-        hess = (z * (p * (1 - p))[:, None]).T @ z + np.diag(ridge)
+        grad = z.T @ (p - y) + START_ROWS * (w - start)
+        hess = (z * (p * (1 - p))[:, None]).T @ z + START_ROWS * np.eye(len(w))
         step = np.linalg.solve(hess, grad)
+        step /= max(1.0, np.abs(step).max())  # far from the answer a whole step can lead astray
         w -= step
         if np.abs(step).max() < 1e-9:
             break
@@ -109,40 +115,38 @@ def logistic(x: np.ndarray, y: np.ndarray, rounds: int = 50) -> tuple[np.ndarray
 
 
 def dictionary(texts: list[str], size: int) -> bytes:
-    """Raw dictionary content: an even share from the middle of every text."""
+    """Raw dictionary content: an even share from the middle of every text.
+
+    Where that would be less than ``LEAST_SHARE`` bytes, texts at even steps give so much.
+    """
+    most = size // (LEAST_SHARE + 1)
+    texts = [texts[len(texts) * k // most] for k in range(most)] if len(texts) > most else texts
     if not texts:
         return b" "
-    share = max(48, size // len(texts))
+    share = size // len(texts) - 1
     parts = []
     for text in texts:
         data = shape(text)
         start = max(0, (len(data) - share) // 2)
         parts.append(data[start : start + share])
-    return b"\n".join(parts)[:size] or b" "
+    return b"\n".join(parts) or b" "
 
 
 def train(rows: list[tuple[str, int]], weights: tuple[float, float]) -> Model:
     """A model from (text, label) rows; ``weights``: how many corpus rows stand for a bad and a good one.
 
     Every other row of a class builds its dictionaries, the rest fit the curve.
-    With fewer than ``LEAST_ROWS`` rows of a class nothing is rejected: every text
-    gets the same score, the share of good labels, or just above the threshold if
-    that is more.
+    The fewer rows there are, the nearer it stays to the starting belief, under
+    which scores differ a little and no text is rejected.
     """
     of = {c: [text for text, y in rows if y == c] for c in (0, 1)}
     pairs = tuple((dictionary(of[1][::2], size), dictionary(of[0][::2], size)) for size, _ in PAIRS)
     rest = [(text, c) for c in (0, 1) for text in of[c][1::2]]
-    total = sum(weights)
-    share = min(0.999, max(0.001, weights[1] / total)) if total else 0.5
-    prior = float(np.log(share / (1 - share)))
-    y = np.array([c for _, c in rest], dtype=float)
-    if min(len(of[0]), len(of[1])) < LEAST_ROWS:
-        passing = THRESHOLD + 1e-6
-        return Model(pairs, (0.0,) * len(PAIRS), max(prior, float(np.log(passing / (1 - passing)))))
-    slopes, offset = logistic(np.array([differences(text, pairs) for text, _ in rest]), y)
-    # The sample is even-handed between the classes; the corpus is not.
-    seen = y.mean()
-    return Model(pairs, tuple(float(s) for s in slopes), offset + prior - float(np.log(seen / (1 - seen))))
+    x = np.array([differences(text, pairs) for text, _ in rest]).reshape(-1, len(PAIRS))
+    slopes, offset = logistic(x, np.array([c for _, c in rest], dtype=float))
+    # The sample is even-handed between the classes; the corpus is not. Half of it was fitted on.
+    bad, good = (np.log((weights[c] / 2 + 1) / (len(of[c]) // 2 + 1)) for c in (0, 1))
+    return Model(pairs, tuple(float(s) for s in slopes), float(offset + good - bad))
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
@@ -154,12 +158,14 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """
     marks = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     marks = marks.groupBy("doc_id").agg(F.min("quality").alias("y"), F.max("quality").alias("y2")).where("y = y2").drop("y2")
-    marks = land(marks.join(docs.select("doc_id").distinct(), "doc_id", "left_semi"), "classifier-labels")
+    fits = F.coalesce(F.octet_length("text").between(1, LONGEST_FITTED), F.lit(False))
+    there = docs.groupBy("doc_id").agg(F.max(fits).alias("fits"))
+    marks = land(marks.join(there, "doc_id"), "classifier-labels")
     totals = {r["y"]: r["count"] for r in marks.groupBy("y").count().collect()}
     order = F.xxhash64("doc_id", F.lit("fit"))
-    fold = [marks.where(F.col("y") == y).orderBy(order, "doc_id").limit(ROWS_PER_CLASS) for y in (0, 1)]
-    chosen = F.broadcast(fold[0].unionByName(fold[1]))  # at most two times ROWS_PER_CLASS ids
-    texts = docs.select("doc_id", "text").where(F.octet_length("text").between(1, LONGEST_FITTED))
+    fold = [marks.where(F.col("fits") & (F.col("y") == y)).orderBy(order, "doc_id").limit(ROWS_PER_CLASS) for y in (0, 1)]
+    chosen = F.broadcast(fold[0].unionByName(fold[1]).drop("fits"))  # at most two times ROWS_PER_CLASS ids
+    texts = docs.select("doc_id", "text").where(fits)
     # Copies of an id are met here by partial aggregation.
     rows = texts.join(chosen, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("y").alias("y")).orderBy("doc_id").collect()
     return train([(r["text"], r["y"]) for r in rows], (totals.get(0, 0), totals.get(1, 0)))

@@ -4,8 +4,10 @@ Every rolling word k-gram of every document is hashed and joined with the places
 of the same k-gram in license templates. A copied passage keeps its words in
 order, so its hits share one difference *place in text - place in template*, a
 diagonal. Hits vote for diagonals; diagonals a few words apart (a name put in, a
-word left out) are merged to one span; a span that covers enough of the template
-is a match. Short phrases are also found exactly (the base labels).
+word left out) are merged to one span, cut at a distance from its strongest diagonal; a
+span that covers enough of the template is a match, unless one of another license
+over the same place covers more of its own. Short phrases are also found exactly
+(the base labels).
 """
 
 from __future__ import annotations
@@ -35,7 +37,6 @@ TEMPLATES = [
     ("mit", "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software"),
     ("apache", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at"),
     ("gpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version"),
-    ("gpl", "This work is licensed under the GNU General Public License, version 3"),
     ("lgpl", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation"),
     ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
     ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at"),
@@ -106,26 +107,47 @@ def _keyed(docs: DataFrame, text: str) -> DataFrame:
 
 
 def matches(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Verified spans: ``doc_id, digest, label, template, first_word, last_word, cover``."""
+    """Verified spans: ``doc_id, digest, label, template, first_word, last_word, n_words, cover``."""
     rows = _keyed(docs, text)
     grams = rows.select("doc_id", "digest", F.posexplode(gram_hashes(word_list(plain(F.col("text"))))).alias("pos", "gram"))
     hits = grams.join(F.broadcast(template_grams(docs.sparkSession)), "gram")
     diagonals = hits.groupBy("doc_id", "digest", "template", "label", "of", (F.col("pos") - F.col("at")).alias("diagonal")).agg(
         F.collect_set("at").alias("ats"), F.min("pos").alias("low"), F.max("pos").alias("high")
     )
-    along = Window.partitionBy("doc_id", "digest", "template").orderBy("diagonal")
+    chain = ("doc_id", "digest", "template")
+    along = Window.partitionBy(*chain).orderBy("diagonal")
     apart = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(along) > DRIFT, F.lit(True))
     spans = diagonals.withColumn("span", F.sum(apart.cast("int")).over(along))
-    merged = spans.groupBy("doc_id", "digest", "template", "label", "of", "span").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("ats")))).alias("held"),
+    # A chain reaches no farther than half a template from its strongest diagonal, the first one of equals.
+    strongest = F.max(F.struct(F.size("ats"), -F.col("diagonal"))).over(Window.partitionBy(*chain, "span"))
+    centred = spans.withColumn("centre", -strongest["col2"])
+    merged = centred.where(2 * F.abs(F.col("diagonal") - F.col("centre")) <= F.col("of") + GRAM).groupBy(*chain, "label", "of", "span").agg(
+        F.array_distinct(F.flatten(F.collect_list("ats"))).alias("held"),
         F.min("low").alias("first_word"),
         (F.max("high") + (GRAM - 1)).alias("last_word"),
     )
-    cover = F.col("held") / F.col("of")
-    near = F.col("last_word") - F.col("first_word") <= 2 * (F.col("of") + GRAM)
-    return merged.where((cover >= COVER) & near).select(
-        "doc_id", "digest", "label", "template", "first_word", "last_word", cover.alias("cover")
-    )
+    # The words of the template that stand in its k-grams found: those of the span, compared one by one.
+    words = F.size(F.array_distinct(F.flatten(F.transform("held", lambda at: F.sequence(at, at + (GRAM - 1))))))
+    cover = F.col("n_held") / F.col("of")
+    found = merged.withColumn("n_held", F.size("held")).withColumn("n_words", words).where(cover >= COVER)
+    return _best(found.select("doc_id", "digest", "label", "template", "first_word", "last_word", "n_words", cover.alias("cover")))
+
+
+def _best(found: DataFrame) -> DataFrame:
+    """Of spans of different labels over one place, that which holds the larger share of its template, or more words."""
+    columns = ["label", "template", "first_word", "last_word", "n_words", "cover"]
+    every = found.groupBy("doc_id", "digest").agg(F.collect_list(F.struct(*columns)).alias("spans"))
+
+    def beaten(s: Column) -> Column:
+        def by(t: Column) -> Column:
+            over = (t["first_word"] <= s["last_word"]) & (s["first_word"] <= t["last_word"])
+            more = (t["cover"] > s["cover"]) | ((t["cover"] == s["cover"]) & (t["n_words"] > s["n_words"]))
+            return over & (t["label"] != s["label"]) & more
+
+        return F.exists("spans", by)
+
+    kept = every.select("doc_id", "digest", F.explode(F.filter("spans", lambda s: ~beaten(s))).alias("s"))
+    return kept.select("doc_id", "digest", "s.*")
 
 
 def scan(docs: DataFrame, text: str = "text") -> DataFrame:

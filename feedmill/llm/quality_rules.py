@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from feedmill.llm.common import bind, land
 
 WINDOW = 8
+#: Words of a block in which distinct words are counted.
+BLOCK = 1000
 SPACES = "\t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 20
@@ -71,6 +73,15 @@ def _repeat_words(words: Column) -> Column:
     return F.when(F.size(words) > WINDOW, bind(bind(hashed, windows), count)).otherwise(F.lit(0).cast("bigint"))
 
 
+def _distinct_in_blocks(words: Column) -> Column:
+    """Distinct words of each block of ``BLOCK`` words, added up. Unlike those of the whole text, their share
+    does not fall with its length."""
+    starts = F.sequence(F.lit(1), F.size(words), F.lit(BLOCK))
+    each = F.transform(starts, lambda i: F.size(F.array_distinct(F.slice(words, i, BLOCK))))
+    total = F.aggregate(each, F.lit(0).cast("bigint"), lambda a, x: a + x)
+    return F.when(F.size(words) > BLOCK, total).otherwise(F.size(F.array_distinct(words)).cast("bigint"))
+
+
 def counts(text: Column) -> Column:
     """The base counts of a text as one struct. A null text has no words and no lines."""
     text = F.coalesce(text, F.lit(""))
@@ -91,7 +102,7 @@ def counts(text: Column) -> Column:
                 F.length(F.regexp_replace(t, r"[^\p{Lu}]+", "")).cast("bigint").alias("n_upper"),
                 F.length(F.regexp_replace(t, r"[^\p{L}\p{M}]+", "")).cast("bigint").alias("n_letters"),
                 (F.length(t) - F.length(F.translate(t, ".!?", ""))).cast("bigint").alias("n_stops"),
-                F.size(F.array_distinct(w)).cast("bigint").alias("n_distinct_words"),
+                _distinct_in_blocks(w).alias("n_distinct_words"),
             )
 
         return bind(words, with_words)
@@ -124,9 +135,7 @@ def votes(c: Column) -> dict[str, Column]:
             (c["n_stops"] > 0.5 * words) | ((c["n_stops"] * 60 < words) & (words >= 40)),
             (c["n_stops"] * 30 >= words) & (c["n_stops"] <= 0.25 * words),
         ),
-        "v_variety": rule(
-            (c["n_distinct_words"] < 0.15 * words) & (words < 2000), c["n_distinct_words"] > 0.35 * words
-        ),
+        "v_variety": rule(c["n_distinct_words"] < 0.15 * words, c["n_distinct_words"] > 0.35 * words),
     }
 
 

@@ -189,12 +189,13 @@ def test_classifier_learns_from_the_labels_of_its_own_input(spark):
 
 
 @pytest.mark.parametrize("n_good, n_bad", [(400, 0), (400, 2), (3, 2), (0, 0)])
-def test_classifier_rejects_nothing_with_hardly_any_bad_rows(spark, n_good, n_bad):
+def test_classifier_rejects_no_good_row_with_hardly_any_bad_rows(spark, n_good, n_bad):
     rows = [(i, prose(i, 80)) for i in range(400)] + [(1000 + i, prose(i, 80).replace(" ", "*** ")) for i in range(n_bad)]
     table = spark.createDataFrame(rows, "doc_id long, text string")
     marks = [(i, 1) for i in range(n_good)] + [(1000 + i, 0) for i in range(n_bad)] + [(10_000 + i, 0) for i in range(900)]
     model = compression.fit(table, spark.createDataFrame(marks, "doc_id long, quality int"))
-    assert compression.score(table, model).where("predicted = 1").count() == len(rows)
+    kept = compression.score(table, model).where("predicted = 1")
+    assert kept.where("row.doc_id < 1000").count() == 400
 
 
 def test_token_counts_and_cache(docs, none, spark, monkeypatch):
@@ -396,3 +397,82 @@ def test_texts_that_share_an_id_are_told_apart(spark):
     rows = [(1, "a b c d e f g"), (1, "t u v w x y z k l m"), (2, "t u v w x y z k l m"), (2, "t u v w x y z k l m"), (3, prose(9, 40)), (None, "t u")]
     kept = collections.Counter(r.text for r in jaccard.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect())
     assert kept == collections.Counter({text for _, text in rows})
+
+
+@pytest.mark.parametrize("n_bad", [0, 1, 3, 19, 21])
+def test_scores_differ_however_few_bad_rows_there_are(spark, n_bad):
+    rows = [(i, prose(i, 80)) for i in range(200)] + [(1000 + i, prose(i, 80).replace(" ", "*** ")) for i in range(n_bad)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = [(i, int(i < 1000)) for i, _ in rows]
+    model = compression.fit(table, spark.createDataFrame(marks, "doc_id long, quality int"))
+    scored = {r.doc_id: r.score for r in compression.score(table, model).select("row.doc_id", "score").collect()}
+    assert len(set(scored.values())) > 100
+    assert sum(scored[i] >= 0.7 for i in range(200)) >= 198
+    if n_bad > 3:
+        assert max(scored[1000 + i] for i in range(n_bad)) < min(scored[i] for i in range(200))
+
+
+def test_a_dictionary_takes_from_texts_at_even_steps():
+    made = compression.dictionary([f"{'#' * (k % 7)}{'a' * 100}" if k < 500 else "9" * 100 for k in range(1000)], 4900)
+    assert len(made) <= 4900 and 0.45 < made.count(b"0") / len(made) < 0.55
+
+
+@pytest.mark.parametrize("n", [999, 1000, 1001, 1999, 2001, 5000])
+def test_variety_does_not_fall_with_length(spark, n):
+    junk = [f"w{random.Random(i).randint(0, 29)}" for i in range(n)]
+    fine = prose(n, n).split()
+    table = spark.createDataFrame([(1, " ".join(junk)), (2, " ".join(fine))], "doc_id long, text string")
+    got = {r.doc_id: (r.n, r.v_variety) for r in quality_rules.voted(table).select("row.doc_id", "c.n_distinct_words", "v_variety").withColumnRenamed("n_distinct_words", "n").collect()}
+    for i, words in ((1, junk), (2, fine)):
+        assert got[i][0] == sum(len(set(words[k : k + 1000])) for k in range(0, n, 1000))
+    assert (got[1][1], got[2][1]) == (quality_rules.BAD, quality_rules.GOOD)
+
+
+def notice(label, which=0):
+    return [text for name, text in licenses.TEMPLATES if name == label][which]
+
+
+def test_of_overlapping_notices_the_better_one_counts(spark):
+    rows = [(k, f"{prose(k, 30)} {notice(label)} {prose(k + 50, 30)}") for k, label in enumerate(("gpl", "lgpl", "cc-by", "cc-by-sa", "mit", "isc"))]
+    rows.append((6, notice("gpl") + " " + prose(3, 40) + " " + notice("lgpl")))
+    got = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[k].labels for k in range(7)] == ["gpl", "lgpl", "cc-by", "cc-by-sa", "mit", "isc", "gpl,lgpl"]
+    assert all(got[k].score == 1.0 for k in range(6))
+
+
+def test_a_phrase_repeated_before_a_notice_does_not_hide_it(spark):
+    rows = [(n, "lesser general public license " * n + notice("lgpl")) for n in (1, 6, 50, 200)]
+    rows += [(1000 + n, " ".join([notice("mpl")] * n)) for n in (1, 2, 30)]
+    got = {r.doc_id: r.labels for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert set(got[n] for n in (1, 6, 50, 200)) == {"lgpl"} and set(got[1000 + n] for n in (1, 2, 30)) == {"mpl"}
+
+
+def brute_diagonals(text):
+    """Labels by counting, for every template and diagonal, the k-grams that stand there."""
+    words = "".join(c.lower() if c.isascii() and c.isalnum() or c > "\x7f" else " " for c in text).split()
+    out = set()
+    for label, template in licenses.TEMPLATES:
+        of = "".join(c.lower() if c.isalnum() else " " for c in template).split()
+        grams = [tuple(of[k : k + 4]) for k in range(len(of) - 3)]
+        for start in range(-len(of), len(words)):
+            held = {k for k, g in enumerate(grams) for d in range(5) if 0 <= start + k + d and tuple(words[start + k + d : start + k + d + 4]) == g}
+            if 2 * len(held) >= len(grams):
+                out.add(label)
+    return out
+
+
+@pytest.mark.parametrize("share", [0.0, 0.05, 0.1])
+def test_altered_notices_against_all_diagonals(spark, share):
+    pick, rows = random.Random(int(share * 100)), []
+    for k, (label, text) in enumerate(licenses.TEMPLATES):
+        words = []
+        for word in text.split():
+            change = pick.random() < share
+            words += [word] if not change else pick.choice([[], ["other"], [word, "inserted"]])
+        rows.append((k, f"{prose(k, 20)} {' '.join(words)} {prose(k + 1, 20)}", label))
+    got = {r.doc_id: r.labels.split(",") for r in licenses.scan(spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")).collect()}
+    for k, text, label in rows:
+        found = brute_diagonals(text)
+        assert set(filter(None, got[k])) <= found | {"gpl", "mit", "apache", "cc-by"}
+        if label in found and len(found) == 1:
+            assert label in got[k]
