@@ -18,8 +18,8 @@ One page is one row; nothing is grouped across rows.
 from __future__ import annotations
 
 import html
-import os.path
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -69,14 +69,27 @@ SMOOTH = np.array([0.25, 0.5, 0.25])
 LEVEL = 0.5
 
 
+#: A block of text: its path, its element, the text, and how much of that is links.
+Block = tuple[int, int, str, int]
+
+
 class _Page:
-    """Blocks of text in page order: ``path``, ``chain`` (element numbers from the root), ``text``, ``link``."""
+    """Blocks of text in page order. Elements have numbers in the order they open in, paths in that they come up in.
+
+    ``up`` has the block element around each element, ``path_tags`` the last tag of each path.
+    Depth costs nothing: an element knows its path and block element by number.
+    """
 
     def __init__(self, source: str) -> None:
-        self.blocks: list[tuple[str, tuple[int, ...], str, int]] = []
+        self.blocks: list[Block] = []
         self.tags: list[str] = ["#"]
+        self.up: list[int] = [0]
+        self.path_tags: list[str] = ["#"]
         self.articles: list[int] = []
-        self._stack: list[tuple[str, int, bool]] = [("#", 0, False)]
+        self._paths: dict[tuple[int, str], int] = {}
+        # Tag, set aside or not, block element, path, inside an article or not.
+        self._stack: list[tuple[str, bool, int, int, bool]] = [("#", False, 0, 0, False)]
+        self._opened: Counter[str] = Counter()
         self._parts: list[str] = []
         self._link = 0
         self._read(source)
@@ -84,17 +97,19 @@ class _Page:
     def _flush(self) -> None:
         text = " ".join("".join(self._parts).split())
         if text:
-            blocks = [(t, n) for t, n, _ in self._stack if t not in INLINE]
-            self.blocks.append(
-                ("/".join(t for t, _ in blocks), tuple(n for _, n in blocks), text, min(self._link, len(text)))
-            )
+            _, _, block, path, _ = self._stack[-1]
+            self.blocks.append((path, block, text, min(self._link, len(text))))
         self._parts, self._link = [], 0
 
+    def _pop(self, to: int) -> None:
+        self._opened.subtract(entry[0] for entry in self._stack[to:])
+        del self._stack[to:]
+
     def _text(self, raw: str) -> None:
-        if raw and not self._stack[-1][2]:
+        if raw and not self._stack[-1][1]:
             text = html.unescape(raw) if "&" in raw else raw
             self._parts.append(text)
-            if any(t == "a" for t, _, _ in self._stack[-4:]):
+            if any(entry[0] == "a" for entry in self._stack[-4:]):
                 self._link += len(text.strip())
 
     def _open(self, tag: str, rest: str) -> None:
@@ -114,22 +129,30 @@ class _Page:
                 self._close_open(("dt", "dd"), stop=("dl",))
         if tag in VOID:
             return
+        _, aside, block, path, inside = self._stack[-1]
         self.tags.append(tag)
+        self.up.append(block)
         number = len(self.tags) - 1
-        inside = any(t in ("article", "main") for t, _, _ in self._stack)
-        off = self._stack[-1][2] or tag in ASIDE or (tag == "header" and not inside) or _marked(tag, rest)
-        if off and not self._stack[-1][2] and tag in INLINE:
-            self._parts.append("")
-        if tag in ("article", "main") and not off:
-            self.articles.append(number)
-        self._stack.append((tag, number, off))
+        off = aside or tag in ASIDE or (tag == "header" and not inside) or _marked(tag, rest)
+        if tag in ("article", "main"):
+            inside = True
+            if not off:
+                self.articles.append(number)
+        if tag not in INLINE:
+            block, path = number, self._paths.setdefault((path, tag), len(self.path_tags))
+            if path == len(self.path_tags):
+                self.path_tags.append(tag)
+        self._stack.append((tag, off, block, path, inside))
+        self._opened[tag] += 1
 
     def _close_open(self, tag: str | tuple[str, ...], stop: tuple[str, ...]) -> None:
         tags = (tag,) if isinstance(tag, str) else tag
+        if not any(self._opened[t] for t in tags):
+            return
         for i in range(len(self._stack) - 1, 0, -1):
             name = self._stack[i][0]
             if name in tags:
-                del self._stack[i:]
+                self._pop(i)
                 return
             if name in stop:
                 return
@@ -137,9 +160,11 @@ class _Page:
     def _close(self, tag: str) -> None:
         if tag not in INLINE:
             self._flush()
+        if not self._opened[tag]:
+            return
         for i in range(len(self._stack) - 1, 0, -1):
             if self._stack[i][0] == tag:
-                del self._stack[i:]
+                self._pop(i)
                 return
             if tag in INLINE and self._stack[i][0] not in INLINE:
                 return
@@ -186,7 +211,7 @@ def _marked(tag: str, rest: str) -> bool:
     return False
 
 
-def content_paths(blocks: list[tuple[str, tuple[int, ...], str, int]]) -> set[str]:
+def content_paths(blocks: list[Block]) -> set[int]:
     """Paths whose smoothed and fused text and punctuation ratios reach the threshold."""
     chars, marks, nodes = {}, {}, {}
     for path, _, text, link in blocks:
@@ -201,26 +226,40 @@ def content_paths(blocks: list[tuple[str, tuple[int, ...], str, int]]) -> set[st
 
     fused = smooth(text_ratio) * smooth(mark_ratio)
     line = LEVEL * float(np.sqrt(np.mean(fused**2)))
-    best: dict[str, float] = {}
+    best: dict[int, float] = {}
     for (path, *_), value in zip(blocks, fused):
         best[path] = max(best.get(path, 0.0), float(value))
     return {path for path, value in best.items() if value >= line and chars[path] > 0}
 
 
-def _tag(block: tuple[str, tuple[int, ...], str, int]) -> str:
-    return block[0].rsplit("/", 1)[-1]
-
-
 def _around(page: _Page, content: list[int]) -> set[int]:
     """The elements to read: the articles, if they hold half of the content or more, or else the smallest around it all."""
     blocks, articles = page.blocks, set(page.articles)
-    held = [i for i in content if not articles.isdisjoint(blocks[i][1])]
+    within = _within(page, articles)
+    held = [i for i in content if within[blocks[i][1]]]
     if 2 * sum(len(blocks[i][2]) for i in held) >= sum(len(blocks[i][2]) for i in content):
-        return {n for i in held for n in blocks[i][1] if n in articles}
-    around = os.path.commonprefix([blocks[i][1] for i in content])
-    while page.tags[around[-1]] in PARTS:
-        around = around[:-1]
-    return {around[-1]}
+        holds = [False] * len(page.tags)
+        for i in held:
+            holds[blocks[i][1]] = True
+        for n in range(len(page.tags) - 1, 0, -1):
+            holds[page.up[n]] |= holds[n]
+        return {n for n in articles if holds[n]}
+    # Elements are numbered as they open, so what is around the first and the last is around all.
+    numbers = [blocks[i][1] for i in content]
+    low, high = min(numbers), max(numbers)
+    while low != high:
+        low, high = sorted((low, page.up[high]))
+    while page.tags[low] in PARTS:
+        low = page.up[low]
+    return {low}
+
+
+def _within(page: _Page, elements: set[int]) -> list[bool]:
+    """For each element, does it stand in one of ``elements``, or is it one?"""
+    found = [0 in elements]
+    for n in range(1, len(page.tags)):
+        found.append(n in elements or found[page.up[n]])
+    return found
 
 
 def main_text(source: str | None) -> str:
@@ -236,15 +275,17 @@ def main_text(source: str | None) -> str:
     if not content:
         return ""
     around = _around(page, content)
-    near = [not around.isdisjoint(chain) for _, chain, _, _ in blocks]
+    within = _within(page, around)
+    near = [within[element] for _, element, _, _ in blocks]
+    last = [page.path_tags[path] for path, *_ in blocks]
     first = start = near.index(True)
-    while first > 0 and around.isdisjoint(page.articles) and _tag(blocks[first - 1]) in HEADINGS:
+    while first > 0 and around.isdisjoint(page.articles) and last[first - 1] in HEADINGS:
         first -= 1
     picked = set(content)
     kept = []
     for i, block in enumerate(blocks):
         _, _, text, link = block
-        plain = 2 * link <= len(text) or _tag(block) in HEADINGS
+        plain = 2 * link <= len(text) or last[i] in HEADINGS
         if (i in picked and near[i]) or (plain and (near[i] or first <= i < start)):
             kept.append(text)
     return " ".join(kept)

@@ -476,3 +476,12 @@ def test_altered_notices_against_all_diagonals(spark, share):
         assert set(filter(None, got[k])) <= found | {"gpl", "mit", "apache", "cc-by"}
         if label in found and len(found) == 1:
             assert label in got[k]
+
+
+@pytest.mark.parametrize("page", ["<div>x" * 50_000, "<b>x" * 30_000 + "<p>y" * 30_000, "<div>" * 30_000 + "</foo>x" * 30_000])
+def test_deep_pages_cost_in_proportion_to_their_length(page):
+    import time
+
+    started = time.process_time()
+    html_text.main_text(page)
+    assert time.process_time() - started < 10
