@@ -40,7 +40,8 @@ def op1_compression_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
-    return warc.read(warc.write(warc.decide(pages), scratch_dir(spark, "warc")))
+    records = warc.read(warc.write(warc.decide(pages), scratch_dir(spark, "warc")))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,5 +1,6 @@
 """Every operator on small rows with nulls, empty and long texts, repeated rows, empty tables and clashing columns."""
 
+import base64
 import collections
 import hashlib
 import random
@@ -281,17 +282,93 @@ def test_warc_round_trip(spark):
     rows = [(1, "http://a/é x", long), (2, None, long), (9, "u", long), (9, "u", long), (None, "u", long), (3, "u", None), (4, "u", ""), (5, "u", "short"), (6, "u", "short"), (7, "u", "\x1f\x8b\x08 " + prose(1, 60_000))]
     pages = spark.createDataFrame([(*r, "z", "z") for r in rows], "page_id long, url string, html string, digest string, first string")
     listing = warc.write(warc.decide(pages), scratch_dir(spark, "warc"))
-    got = bag(warc.read(listing, split=500))
+    fields = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    got = bag(warc.read(listing, split=500).select(fields))
     want = collections.Counter()
     for i, _, h in rows:
         body = (h or "").encode()
         revisit = h == long and i != 9
         want[(i, len(body), hashlib.sha1(body).hexdigest(), "revisit" if revisit else "response", 9 if revisit else None)] += 1
     assert got == want
-    assert got == bag(warc.read(listing))
+    assert got == bag(warc.read(listing).select(fields))
+    every = warc.read(listing).collect()
+    (response,) = {r.record_id for r in every if r.page_id == 9}
+    assert {r.refers_to_record for r in every if r.record_type == "revisit"} == {response}
+    assert all(r.intact for r in every if r.record_type == "response")
     assert warc.read(warc.write(warc.decide(pages.limit(0)), scratch_dir(spark, "warc"))).count() == 0
 
 
+def test_warc_payload_that_half_of_all_rows_share(spark):
+    """Its rows stay where they are; the others of the join, short or shared by few, are dealt over its tasks."""
+    rows = [(i, "u", ("hot " * 300) if i % 2 else f"{i // 6 * 6 + i % 6 // 4} " * 400) for i in range(4000)] + [(None, "u", "")] * 500
+    rows += [(10_000 + i, f"u{i}", "") for i in range(1500)]
+    decided = warc.decide(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    last = {}
+    for i, _, h in rows:
+        if len(h) >= 1000:
+            last[h] = max(last.get(h, i), i)
+    want = collections.Counter((i, hashlib.sha1(h.encode()).hexdigest(), None if last.get(h, i) == i else last[h]) for i, _, h in rows)
+    assert bag(decided.select("page_id", "digest", "refers_to")) == want
+    plan = decided._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [digest_if_large" in plan
+
+
+def member(head, block):
+    whole = head.encode() + block + b"\r\n\r\n"
+    packer = zlib.compressobj(6, zlib.DEFLATED, 31)
+    return packer.compress(whole) + packer.flush()
+
+
+def foreign_records():
+    """Records as other programs write them: (member, expected fields)."""
+    page = b"HTTP/1.1 200 OK\r\nServer: x\r\n\r\n<p>\xc3\xa9</p>"
+    payload = b"<p>\xc3\xa9</p>"
+    sha, b32 = hashlib.sha1(payload).hexdigest(), base64.b32encode(hashlib.sha1(payload).digest()).decode()
+    info = b"software: x\r\n"
+    ask = b"GET / HTTP/1.1\r\nHost: a\r\n\r\n"
+    sha_of = lambda b: hashlib.sha1(b).hexdigest()
+    return [
+        (member(f"WARC/1.0\r\nWARC-Type: warcinfo\r\nContent-Type: application/warc-fields\r\nContent-Length: {len(info)}\r\n\r\n", info), (len(info), sha_of(info), "warcinfo", None, None)),
+        (member(f"WARC/1.0\r\nwarc-type:request\r\nCONTENT-TYPE:application/http;msgtype=request\r\ncontent-length:{len(ask)}\r\nwarc-record-id:<urn:a>\r\n\r\n", ask), (0, sha_of(b""), "request", "<urn:a>", None)),
+        (member(f"WARC/1.1\r\nWARC-Type: response\r\nContent-Type: application/http;\r\n msgtype=response\r\nWARC-Record-ID: <urn:b>\r\nWARC-Payload-Digest: sha1:{b32}\r\nContent-Length: {len(page)}\r\n\r\n", page), (len(payload), sha, "response", "<urn:b>", True)),
+        (member(f"WARC/1.1\nWARC-Type: metadata\nWARC-Payload-Digest: sha1:{'0' * 40}\nContent-Length: 2\n\n", b"ab"), (2, sha_of(b"ab"), "metadata", None, False)),
+        (member(f"WARC/0.18\r\nWARC-Type: revisit\r\nContent-Type: application/http\r\nWARC-Payload-Digest: sha1:{b32}\r\nWARC-Refers-To: <urn:b>\r\nContent-Length: 19\r\n\r\n", b"HTTP/1.1 200 OK\r\n\r\n"), (None, sha, "revisit", None, None)),
+        (member("WARC/1.1\r\nWARC-Type: resource\r\nWARC-Payload-Digest: md5:00\r\nContent-Length: 0\r\n\r\n", b""), (0, sha_of(b""), "resource", None, None)),
+    ]
+
+
+@pytest.mark.parametrize("split", [7, 100, 10**6])
+def test_warc_archives_written_elsewhere(spark, tmp_path, split):
+    made = foreign_records() * 3
+    path = tmp_path / "other.warc.gz"
+    path.write_bytes(b"".join(m for m, _ in made))
+    listing = warc.listing_of(spark, [path.as_uri()])
+    got = warc.read(listing, split=split, strict=False)
+    assert bag(got.select("payload_bytes", "payload_digest", "record_type", "record_id", "intact")) == collections.Counter(w for _, w in made)
+    assert {r.refers_to_record for r in got.collect() if r.record_type == "revisit"} == {"<urn:b>"}
+    with pytest.raises(Exception, match="differs from its digest"):
+        warc.read(listing, split=split).collect()
+
+
+def test_warc_places_that_only_look_like_records(tmp_path):
+    """Gzip magic in a payload, members with another content, headers cut short and lengths that do not fit."""
+    good = warc.record(1, "u", b"x" * 50, hashlib.sha1(b"x" * 50).hexdigest(), None)
+    wrong = [
+        b"\x1f\x8b\x08junk",
+        member("no archive at all", b"WARC/1.1"),
+        member("WARC/1.1\r\nWARC-Type: response\r\n\r\n", b"no length"),
+        member("WARC/1.1\r\nContent-Length: 2\r\n\r\n", b"no"),
+        member("WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 900\r\n\r\n", b"too short"),
+        member("WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 1\r\n\r\n", b"too long"),
+        member("WARC/1.1\r\nWARC-Type: response\r\nContent-Length", b""),
+        good[: len(good) // 2],
+    ]
+    path = tmp_path / "a.warc.gz"
+    for noise in wrong:
+        path.write_bytes(noise + good + good)
+        assert [at for at, _ in warc.records(path.as_uri(), 0, 10**6)] == [len(noise), len(noise) + len(good)], noise
+
+
 PAGES = {
     "<html><head><title>T</title><script>var a='<p>x</p>';</script></head><body><nav><a href=/>Home</a></nav><div class='ad'>Buy, now.</div><article><h1>A&amp;B</h1><p><b>One,  two.<br><p>To.</p></article><div id=comments><p>Nice, really. Very nice.</p></div><footer>&copy; x</footer></body></html>": "A&B One, two. To.",
     "<div class='menu'><a>a</a></div><h1>T</h1><div><p>A long one, with text, and more of it.</p><p>To.</p></div><aside>More, and more.</aside>": "T A long one, with text, and more of it. To.",
