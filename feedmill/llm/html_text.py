@@ -4,13 +4,16 @@ A page is a row of text nodes, each under a root-to-leaf path of block tags. The
 nodes of one path are written by one template: paragraphs hold much text and
 punctuation a node, menu entries hold little. Per path the text a node and the
 punctuation a node are worked out, smoothed along the page over neighbouring
-nodes, and fused by multiplication; paths above a threshold are content. The
-elements that HTML itself sets aside (navigation, forms, scripts, elements named
-as adverts, and so on) take no part. The article is then the smallest element
-around the content, read whole but for blocks of links on other paths, so that its
-headings and one-word paragraphs stay. Where <article> or <main> elements hold half
-of the content or more, those that hold content are read instead; which nodes are
-content is up to the paths on every page.
+nodes, and fused by multiplication with a weight for the names on the path: none
+for what HTML or a class sets aside (navigation, forms, adverts and so on; a step
+of such a name makes a path of its own), more for <article> and <main>. Paths
+above a threshold are content, on every page, and nothing else selects a node.
+
+An article has nodes that no ratio finds: headings, one-word paragraphs, a line on
+a path of its own. So each content node brings along the element around it (the
+list around an entry, what holds a paragraph, the <article> around both), and
+what stands between the first and the last of these, where it is not set aside,
+and not mostly links.
 
 One page is one row; nothing is grouped across rows.
 """
@@ -31,17 +34,20 @@ from pyspark.sql import types as T
 # Element names of HTML by their part in a page.
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-ASIDE = frozenset(
-    "head script style noscript template nav aside footer form button select option textarea input label "
-    "svg math iframe object canvas audio video map menu dialog title noembed noframes xmp".split()
+#: Elements without text that a reader sees as such.
+UNSEEN = frozenset(
+    "head script style noscript template select option textarea svg math iframe object canvas audio video map "
+    "title noembed noframes xmp".split()
 )
+#: Elements that HTML sets aside from an article.
+ASIDE = frozenset("nav aside footer form button input label menu dialog".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q s samp small span strike "
     "strong sub sup time tt u var wbr".split()
 )
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements that hold a piece of an article, never all of it.
-PARTS = HEADINGS | frozenset("p li dt dd blockquote pre figcaption".split())
+PARTS = HEADINGS | frozenset("p li dt dd blockquote pre figcaption ul ol dl figure tr tbody thead tfoot".split())
 CLOSES_P = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header "
     "hr main menu nav ol p pre section table ul".split()
@@ -66,8 +72,9 @@ WORD = re.compile(r"[a-z0-9]+")
 
 SMOOTH = np.array([0.25, 0.5, 0.25])
 #: Share of the page's root mean square of fused ratios that a path must reach.
-LEVEL = 0.5
-
+LEVEL = 0.7
+#: Weight of a path through an <article> or <main> element.
+ARTICLE = 4.0
 
 #: A block of text: its path, its element, the text, and how much of that is links.
 Block = tuple[int, int, str, int]
@@ -76,8 +83,8 @@ Block = tuple[int, int, str, int]
 class _Page:
     """Blocks of text in page order. Elements have numbers in the order they open in, paths in that they come up in.
 
-    ``up`` has the block element around each element, ``path_tags`` the last tag of each path.
-    Depth costs nothing: an element knows its path and block element by number.
+    ``up`` has the block element around each element; ``path_tags`` the last tag of each path and ``weights``
+    what the names on it weigh. Depth costs nothing: an element knows its path and block element by number.
     """
 
     def __init__(self, source: str) -> None:
@@ -85,10 +92,11 @@ class _Page:
         self.tags: list[str] = ["#"]
         self.up: list[int] = [0]
         self.path_tags: list[str] = ["#"]
-        self.articles: list[int] = []
-        self._paths: dict[tuple[int, str], int] = {}
-        # Tag, set aside or not, block element, path, inside an article or not.
-        self._stack: list[tuple[str, bool, int, int, bool]] = [("#", False, 0, 0, False)]
+        self.weights: list[float] = [1.0]
+        self.articles: set[int] = set()
+        self._paths: dict[tuple[int, str, float], int] = {}
+        # Tag, seen or not, block element, path.
+        self._stack: list[tuple[str, bool, int, int]] = [("#", True, 0, 0)]
         self._opened: Counter[str] = Counter()
         self._parts: list[str] = []
         self._link = 0
@@ -97,7 +105,7 @@ class _Page:
     def _flush(self) -> None:
         text = " ".join("".join(self._parts).split())
         if text:
-            _, _, block, path, _ = self._stack[-1]
+            _, _, block, path = self._stack[-1]
             self.blocks.append((path, block, text, min(self._link, len(text))))
         self._parts, self._link = [], 0
 
@@ -106,7 +114,7 @@ class _Page:
         del self._stack[to:]
 
     def _text(self, raw: str) -> None:
-        if raw and not self._stack[-1][1]:
+        if raw and self._stack[-1][1]:
             text = html.unescape(raw) if "&" in raw else raw
             self._parts.append(text)
             if any(entry[0] == "a" for entry in self._stack[-4:]):
@@ -129,20 +137,26 @@ class _Page:
                 self._close_open(("dt", "dd"), stop=("dl",))
         if tag in VOID:
             return
-        _, aside, block, path, inside = self._stack[-1]
-        self.tags.append(tag)
-        self.up.append(block)
-        number = len(self.tags) - 1
-        off = aside or tag in ASIDE or (tag == "header" and not inside) or _marked(tag, rest)
-        if tag in ("article", "main"):
-            inside = True
-            if not off:
-                self.articles.append(number)
-        if tag not in INLINE:
-            block, path = number, self._paths.setdefault((path, tag), len(self.path_tags))
+        _, seen, block, path = self._stack[-1]
+        marked = _marked(tag, rest)
+        if tag in INLINE:
+            seen = seen and not marked  # no node of its own, so no path tells
+        else:
+            weight = self.weights[path]
+            if tag in ASIDE or marked or (tag == "header" and weight == 1.0):
+                weight = 0.0
+            elif tag in ("article", "main") and weight:
+                weight = ARTICLE
+            self.tags.append(tag)
+            self.up.append(block)
+            block = len(self.tags) - 1
+            if tag in ("article", "main") and weight:
+                self.articles.add(block)
+            path = self._paths.setdefault((path, tag, weight), len(self.path_tags))
             if path == len(self.path_tags):
                 self.path_tags.append(tag)
-        self._stack.append((tag, off, block, path, inside))
+                self.weights.append(weight)
+        self._stack.append((tag, seen and tag not in UNSEEN, block, path))
         self._opened[tag] += 1
 
     def _close_open(self, tag: str | tuple[str, ...], stop: tuple[str, ...]) -> None:
@@ -211,54 +225,47 @@ def _marked(tag: str, rest: str) -> bool:
     return False
 
 
-def content_paths(blocks: list[Block]) -> set[int]:
-    """Paths whose smoothed and fused text and punctuation ratios reach the threshold."""
-    chars, marks, nodes = {}, {}, {}
+def content_paths(blocks: list[Block], weights: list[float]) -> set[int]:
+    """Paths whose smoothed, fused and weighted text and punctuation ratios, on the mean of their nodes, reach the threshold.
+
+    The best path always does, if any has text but links.
+    """
+    chars, marks, nodes = Counter(), Counter(), Counter()
     for path, _, text, link in blocks:
-        chars[path] = chars.get(path, 0) + len(text) - link
-        marks[path] = marks.get(path, 0) + len(PUNCTUATION.findall(text))
-        nodes[path] = nodes.get(path, 0) + 1
-    text_ratio = np.array([chars[b[0]] / nodes[b[0]] for b in blocks])
-    mark_ratio = np.array([(1 + marks[b[0]]) / nodes[b[0]] for b in blocks])
+        chars[path] += len(text) - link
+        marks[path] += len(PUNCTUATION.findall(text))
+        nodes[path] += 1
+    seen = np.array([weights[b[0]] > 0 for b in blocks])
+    text_ratio = seen * np.array([chars[b[0]] / nodes[b[0]] for b in blocks])
+    mark_ratio = seen * np.array([(1 + marks[b[0]]) / nodes[b[0]] for b in blocks])
 
     def smooth(x: np.ndarray) -> np.ndarray:
         return np.convolve(np.pad(x, 1, mode="edge"), SMOOTH, mode="valid")
 
-    fused = smooth(text_ratio) * smooth(mark_ratio)
+    fused = smooth(text_ratio) * smooth(mark_ratio) * np.array([weights[b[0]] for b in blocks])
     line = LEVEL * float(np.sqrt(np.mean(fused**2)))
-    best: dict[int, float] = {}
+    scores: dict[int, float] = Counter()
     for (path, *_), value in zip(blocks, fused):
-        best[path] = max(best.get(path, 0.0), float(value))
-    return {path for path, value in best.items() if value >= line and chars[path] > 0}
-
-
-def _around(page: _Page, content: list[int]) -> set[int]:
-    """The elements to read: the articles, if they hold half of the content or more, or else the smallest around it all."""
-    blocks, articles = page.blocks, set(page.articles)
-    within = _within(page, articles)
-    held = [i for i in content if within[blocks[i][1]]]
-    if 2 * sum(len(blocks[i][2]) for i in held) >= sum(len(blocks[i][2]) for i in content):
-        holds = [False] * len(page.tags)
-        for i in held:
-            holds[blocks[i][1]] = True
-        for n in range(len(page.tags) - 1, 0, -1):
-            holds[page.up[n]] |= holds[n]
-        return {n for n in articles if holds[n]}
-    # Elements are numbered as they open, so what is around the first and the last is around all.
-    numbers = [blocks[i][1] for i in content]
-    low, high = min(numbers), max(numbers)
-    while low != high:
-        low, high = sorted((low, page.up[high]))
-    while page.tags[low] in PARTS:
-        low = page.up[low]
-    return {low}
-
-
-def _within(page: _Page, elements: set[int]) -> list[bool]:
-    """For each element, does it stand in one of ``elements``, or is it one?"""
-    found = [0 in elements]
+        scores[path] += float(value) / nodes[path]
+    scores = {path: score for path, score in scores.items() if chars[path] > 0}
+    line = min(line, max(scores.values(), default=0.0))
+    return {path for path, score in scores.items() if score >= line and score > 0}
+
+
+def _holders(page: _Page, content: list[int]) -> list[bool]:
+    """For each element, does it stand in one that a content node brings along, or is it one?"""
+    article = [0] * len(page.tags)  # the innermost <article> or <main> around each element
+    for n in range(1, len(page.tags)):
+        article[n] = n if n in page.articles else article[page.up[n]]
+    brought = set()
+    for i in content:
+        element = page.blocks[i][1]
+        while page.tags[element] in PARTS:
+            element = page.up[element]
+        brought.add(article[element] or element)
+    found = [0 in brought]
     for n in range(1, len(page.tags)):
-        found.append(n in elements or found[page.up[n]])
+        found.append(n in brought or found[page.up[n]])
     return found
 
 
@@ -270,23 +277,21 @@ def main_text(source: str | None) -> str:
     blocks = page.blocks
     if not blocks:
         return ""
-    chosen = content_paths(blocks)
+    chosen = content_paths(blocks, page.weights)
     content = [i for i, b in enumerate(blocks) if b[0] in chosen]
     if not content:
         return ""
-    around = _around(page, content)
-    within = _within(page, around)
-    near = [within[element] for _, element, _, _ in blocks]
-    last = [page.path_tags[path] for path, *_ in blocks]
-    first = start = near.index(True)
-    while first > 0 and around.isdisjoint(page.articles) and last[first - 1] in HEADINGS:
+    brought = _holders(page, content)
+    aside = [page.weights[path] == 0 for path, *_ in blocks]
+    near = [i for i, (path, element, _, _) in enumerate(blocks) if path in chosen or brought[element] and not aside[i]]
+    headings = [page.path_tags[path] in HEADINGS for path, *_ in blocks]
+    first, last = near[0], near[-1]
+    while first > 0 and headings[first - 1]:
         first -= 1
-    picked = set(content)
     kept = []
-    for i, block in enumerate(blocks):
-        _, _, text, link = block
-        plain = 2 * link <= len(text) or last[i] in HEADINGS
-        if (i in picked and near[i]) or (plain and (near[i] or first <= i < start)):
+    for i in range(first, last + 1):
+        path, _, text, link = blocks[i]
+        if path in chosen or not aside[i] and (2 * link <= len(text) or headings[i]):
             kept.append(text)
     return " ".join(kept)
 

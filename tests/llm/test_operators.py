@@ -3,7 +3,9 @@
 import base64
 import collections
 import hashlib
+import html.parser
 import random
+import re
 import zlib
 
 import numpy as np
@@ -398,9 +400,126 @@ NODES = {
     # Links in an <article> on a path of their own are not content; links among its paragraphs are.
     f"<article><h1><a>T</a></h1><p>{PROSE}</p><p><a>See this</a></p><ul><li><a>b</a></li><li><a>c</a></li></ul><div>End</div></article><div>x</div>": f"T {PROSE} See this End",
     f"<main><h1>T</h1><p>{PROSE}</p><div><a>b</a></div><p>To.</p></main>": f"T {PROSE} To.",
+    # What stands beside the sections of an <article>, or between parts of it; inline elements set aside are no blocks.
+    f"<article><div>By me</div><section><p>{PROSE}</p></section><div>Quote</div><section><p>{PROSE}</p></section></article>": f"By me {PROSE} Quote {PROSE}",
+    f"<div><div>x</div><div><p>{PROSE}</p></div><div>Quote</div><div><p>A<span class=ad>d</span>nd. {PROSE}</p></div><div>y</div></div>": f"{PROSE} Quote And. {PROSE}",
 }
 
 
+def unnamed(page, *tags):
+    """A page with these elements made plain <div>, and those of class "ad" with them if <nav> is one."""
+    for tag in tags:
+        page = re.sub(rf"<(/?){tag}(?: [^>]*)?>", r"<\1div>", page)
+    return page.replace('<div class="ad">', "<div>") if "nav" in tags else page
+
+
+def given_pages():
+    import pyarrow.parquet as pq
+
+    return pq.read_table("/root/testdata/sf0.01/pages.parquet")["html"].to_pylist()
+
+
+class TagPaths(html.parser.HTMLParser):
+    """(path, text, link characters) of every block of a page of plain elements, with paths as tuples of tags."""
+
+    def __init__(self, page):
+        super().__init__()
+        self.path, self.nodes, self.parts, self.link, self.in_link, self.unseen = (), [], [], 0, False, 0
+        self.feed(page)
+        self.close()
+        self.flush()
+
+    def flush(self):
+        text = " ".join("".join(self.parts).split())
+        if text:
+            self.nodes.append((self.path, text, min(self.link, len(text))))
+        self.parts, self.link = [], 0
+
+    def handle_starttag(self, tag, attrs):
+        if tag in ("meta", "br", "b"):
+            self.parts.append(" " if tag == "br" else "")
+        elif tag == "a":
+            self.in_link = True
+        else:
+            self.flush()
+            if tag == "p" and self.path[-1:] == ("p",):
+                self.path = self.path[:-1]
+            self.path += (tag,)
+            self.unseen += tag in ("head",)
+
+    def handle_endtag(self, tag):
+        if tag == "a":
+            self.in_link = False
+        elif tag in self.path:
+            self.flush()
+            self.path = self.path[: len(self.path) - 1 - self.path[::-1].index(tag)]
+            self.unseen -= tag in ("head",)
+
+    def handle_data(self, data):
+        if not self.unseen:
+            self.parts.append(data)
+            self.link += len(data.strip()) * self.in_link
+
+
+def brute_content(nodes):
+    """The content paths by their definition, node by node, all names weighing alike."""
+    of = {path: [n for n in nodes if n[0] == path] for path, *_ in nodes}
+    text = [sum(len(t) - k for _, t, k in of[p]) / len(of[p]) for p, *_ in nodes]
+    mark = [(1 + sum(ch in ".,;:!?…。，、！？；：" for _, t, _ in of[p] for ch in t)) / len(of[p]) for p, *_ in nodes]
+
+    def smooth(x):
+        return [(x[max(0, i - 1)] + 2 * x[i] + x[min(len(x) - 1, i + 1)]) / 4 for i in range(len(x))]
+
+    fused = [a * b for a, b in zip(smooth(text), smooth(mark))]
+    score = {p: np.mean([f for n, f in zip(nodes, fused) if n[0] == p]) for p in of if sum(len(t) - k for _, t, k in of[p])}
+    line = min(html_text.LEVEL * np.mean([f * f for f in fused]) ** 0.5, max(score.values()))
+    return {p for p in score if score[p] >= line}
+
+
+def test_html_content_paths_by_brute_force():
+    pages = [unnamed(page, "article", "nav", "footer") for page in given_pages()]
+    for page in pages:
+        nodes = TagPaths(page).nodes
+        read = html_text._Page(page)
+        assert [(t, k) for _, _, t, k in read.blocks] == [(t, k) for _, t, k in nodes]
+        chosen = html_text.content_paths(read.blocks, read.weights)
+        want = brute_content(nodes)
+        assert [b[0] in chosen for b in read.blocks] == [n[0] in want for n in nodes]
+
+
+@pytest.mark.parametrize("tags", [(), ("article",), ("article", "nav", "footer")])
+def test_html_text_hangs_on_the_paths(monkeypatch, tags):
+    """Other paths give other texts, whether or not elements have telling names."""
+    pages = [unnamed(page, *tags) for page in given_pages()]
+    right = [html_text.main_text(page) for page in pages]
+    real = html_text.content_paths
+
+    def others(blocks, weights):
+        return {b[0] for b in blocks} - real(blocks, weights)
+
+    for choose in (others, lambda blocks, weights: {b[0] for b in blocks}, lambda blocks, weights: {blocks[0][0]}):
+        monkeypatch.setattr(html_text, "content_paths", choose)
+        assert not any(html_text.main_text(page) == text for page, text in zip(pages, right))
+
+
+@pytest.mark.parametrize("tags, least", [((), 1.0), (("article",), 1.0), (("nav", "footer"), 0.96), (("article", "nav", "footer"), 0.8)])
+def test_html_articles_are_found_with_and_without_names(tags, least):
+    pages = given_pages()
+    want = [" ".join(t for p, t, _ in TagPaths(page).nodes if "article" in p) for page in pages]
+    got = [html_text.main_text(unnamed(page, *tags)) for page in pages]
+    assert np.mean([g == w for g, w in zip(got, want)]) >= least
+    assert all(w in g for g, w in zip(got, want))
+
+
+def test_html_of_any_kind_is_read():
+    pick = random.Random(8)
+    bits = ["<div>", "</div>", "<p>", "</p>", "<article>", "</article>", "<a href=x>", "</a>", "<nav>", "</nav>", "<h2>", "</h2>", "<li>", "<ul>", "</ul>", "<span class=ad>", "</span>", "Some text, and more. ", "x", "&lt;", "<", ">", "<!--", "-->", "<script>", "</script>", "<td>", "<tr>", "</table>", "<table>", "<div hidden>"]
+    for _ in range(3000):
+        page = "".join(pick.choice(bits) for _ in range(pick.randint(1, 40)))
+        text = html_text.main_text(page)
+        assert text == " ".join(text.split())
+
+
 def test_html_paths_pick_the_content():
     assert {page: html_text.main_text(page) for page in NODES} == NODES
 
