@@ -17,7 +17,13 @@ from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedmill.llm.common import land
+
 LIMIT = 4096
+#: A key is hot if one in so many rows has it; there are at most as many hot ones.
+HOT = 1000
+#: Ways in which rows with a hot key are dealt over the tasks of the join that they have no part in.
+SALTS = 4096
 #: Characters of text that one call of the library gets.
 BATCH_CHARS = 4_000_000
 
@@ -75,12 +81,12 @@ def content_key(text: Column, version: str) -> Column:
 
 
 def read_cache(spark: SparkSession, cache: str) -> DataFrame:
-    """The cache's rows; none if nothing was written yet."""
+    """The cache's rows; none if nothing was written yet. Two runs that overlap may both have written a key."""
     from pyspark.errors import AnalysisException
 
     schema = "key binary, n_tokens bigint"
     try:
-        return spark.read.schema(schema).parquet(cache).dropDuplicates(["key"])
+        return spark.read.schema(schema).parquet(cache)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -91,23 +97,33 @@ def count(docs: DataFrame, tokenizer: str, cache: str, text: str = "text", limit
     """``doc_id, n_bytes, n_tokens, over_limit`` for every row; misses are added to ``cache``.
 
     Null texts count as empty. Equal texts, in however many rows, are encoded
-    once: they meet by partial aggregation, so a text that a third of all rows
-    share reaches the last step once per task. Rows that repeat stay, with equal
-    counts; null ids stay null; columns other than the id and text are not read.
-    An append that is cut short leaves no rows (Spark commits whole jobs); two
-    runs that append the same key agree, and reading takes one of them.
+    once: they meet by partial aggregation. Rows then get their counts: those of
+    hot keys, at most ``HOT`` by their definition, by broadcast, so that the rows
+    of a text that a third of the table shares stay spread; the others in a
+    join. Rows that repeat stay, with equal counts; null ids stay null; columns
+    other than the id and text are not read. An append that is cut short leaves
+    no rows (Spark commits whole jobs); two runs that append the same key agree,
+    and reading takes one of them.
     """
     spark = docs.sparkSession
     name, version = ship(spark, tokenizer), tokenizer_version(tokenizer)
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     rows = docs.select(F.col("doc_id"), body.alias("text")).withColumn("key", content_key(F.col("text"), version))
-    known = read_cache(spark, cache)
     distinct = rows.groupBy("key").agg(F.first("text").alias("text"))
-    missing = distinct.join(known.select("key"), "key", "left_anti")
+    missing = distinct.join(read_cache(spark, cache).select("key"), "key", "left_anti")
     missing.mapInPandas(_encode(name), "key binary, n_tokens bigint").write.mode("append").parquet(cache)
     # Written by the line above, so it exists, if only as an empty table.
     known = read_cache(spark, cache)
-    slim = rows.select("doc_id", "key", F.octet_length("text").cast("bigint").alias("n_bytes"))
-    return slim.join(known, "key").select(
-        "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")
+    slim = land(rows.select("doc_id", "key", F.octet_length("text").cast("bigint").alias("n_bytes")), "token-keys")
+    hot = slim.groupBy("key").count().where(F.col("count") * HOT >= slim.count()).select("key")
+    # Known counts are read once for the few hot keys; as many rows as keys, so they can be broadcast.
+    many = known.join(F.broadcast(hot), "key").groupBy("key").agg(F.first("n_tokens").alias("hot_tokens"))
+    dealt = F.concat(F.lit("-"), F.pmod(F.xxhash64("doc_id", F.spark_partition_id()), F.lit(SALTS)).cast("string")).cast("binary")
+    rest = slim.join(F.broadcast(many), "key", "left").withColumn(
+        "meets", F.when(F.col("hot_tokens").isNull(), F.col("key")).otherwise(dealt)
+    )
+    few = known.groupBy(F.col("key").alias("meets")).agg(F.first("n_tokens").alias("met_tokens"))
+    n_tokens = F.coalesce("hot_tokens", "met_tokens")
+    return rest.join(few, "meets", "left").select(
+        "doc_id", "n_bytes", n_tokens.alias("n_tokens"), (n_tokens > limit).alias("over_limit")
     )

@@ -66,7 +66,7 @@ def decide(pages: DataFrame, key: str = "page_id", payload: str = "html", least:
     the digests that rows share: the hot ones, at most ``HOT`` by their
     definition, by broadcast, so that a payload that a third of the rows share
     stays where it is; the others in a join. Rows that cannot meet any
-    digest there (short, or hot) are dealt over its tasks by their id and url.
+    digest there (short, or hot) are dealt over its tasks.
     """
     body = F.coalesce(F.col(f"`{payload}`"), F.lit("")).cast("binary")
     url = F.col("url") if "url" in pages.columns else F.lit(None)
@@ -85,7 +85,7 @@ def decide(pages: DataFrame, key: str = "page_id", payload: str = "html", least:
     hot = F.col("n") * HOT >= total
     many = shared.where(hot).select(F.col("digest").alias("hot"), F.col("to").alias("hot_to"))
     few = shared.where(~hot).select(F.col("digest").alias("met"), F.col("to").alias("met_to"))
-    dealt = F.concat(F.lit("-"), F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("string"))
+    dealt = F.concat(F.lit("-"), F.pmod(F.xxhash64("page_id", "url", F.spark_partition_id()), F.lit(SALTS)).cast("string"))
     joined = (
         rows.withColumn("digest_if_large", F.when(large, F.col("digest")))
         .join(F.broadcast(many), F.col("digest_if_large") == F.col("hot"), "left")

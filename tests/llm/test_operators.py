@@ -218,6 +218,21 @@ def test_token_counts_and_cache(docs, none, spark, monkeypatch):
     assert token_counts.count(none, PIECE, scratch_dir(spark, "cache")).count() == 0
 
 
+def test_token_counts_of_hot_and_other_texts(spark):
+    """Rows of a text that half of the table shares, and others; the cache holds a key twice, as two runs may leave it."""
+    rows = [(i if i % 3 else None, "hot text" if i % 2 else f"text {i // 4}") for i in range(5000)]
+    table, cache = spark.createDataFrame(rows, "doc_id long, text string"), scratch_dir(spark, "cache")
+    first = bag(token_counts.count(table, PIECE, cache))
+    spark.read.parquet(cache).limit(900).write.mode("append").parquet(cache)
+    assert spark.read.parquet(cache).count() == 1251 + 900
+    again = token_counts.count(table, PIECE, cache)
+    assert bag(again) == first and spark.read.parquet(cache).count() == 1251 + 900
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECE)
+    assert first == collections.Counter((i, len(t), len(library.encode(t)), False) for i, t in rows)
+
+
 def test_packing_round_trip(docs, none):
     from tokenizers import Tokenizer
 
