@@ -16,7 +16,6 @@ more.
 from __future__ import annotations
 
 import hashlib
-import json
 import time
 import uuid
 from collections.abc import Callable
@@ -26,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from feedmill.operators import telemetry
+from feedmill.stores import create_json, place, read_json
 
 REJECTS = "rejects"
 _FOLDER = "written"
@@ -36,49 +36,15 @@ _RECORD = "adds array<string>, drops array<string>"
 Step = Callable[[str, int], None]
 
 
-def _place(spark: SparkSession, path: str):
-    """A path of the file system's own kind, and that file system."""
-    jvm = spark._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def _read(spark: SparkSession, path: str) -> dict | None:
-    """A commit record; None if there is none, or only a part of one."""
-    place, store = _place(spark, path)
-    if not store.exists(place):
-        return None
-    stream = store.open(place)
-    try:
-        return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-    except json.JSONDecodeError:
-        return None
-    finally:
-        stream.close()
-
-
 def _commit(spark: SparkSession, root: str, name: str, adds: list[str], drops: list[str], renew: bool = False) -> bool:
     """Make a record; False if another writer made it first. ``renew`` replaces a part of one."""
-    from py4j.protocol import Py4JJavaError
-
-    place, store = _place(spark, f"{root}/{_RECORDS}/{name}.json")
-    try:
-        stream = store.create(place, renew)
-    except Py4JJavaError:
-        if store.exists(place):
-            return False
-        raise
-    try:
-        stream.write(bytearray(json.dumps({"adds": adds, "drops": drops}).encode()))
-    finally:
-        stream.close()
-    return True
+    return create_json(spark, f"{root}/{_RECORDS}/{name}.json", {"adds": adds, "drops": drops}, renew)
 
 
 def _records(spark: SparkSession, root: str) -> list[tuple[str, list[str], list[str]]]:
     """File, added and dropped folders of every whole record: one a batch since the last ``vacuum``."""
-    place, store = _place(spark, f"{root}/{_RECORDS}")
-    if not store.exists(place):
+    there, store = place(spark, f"{root}/{_RECORDS}")
+    if not store.exists(there):
         return []
     rows = spark.read.schema(_RECORD).json(f"{root}/{_RECORDS}").select("*", F.col("_metadata.file_name").alias("file"))
     return [(r["file"], r["adds"], r["drops"]) for r in rows.where("adds IS NOT NULL AND drops IS NOT NULL").collect()]
@@ -134,7 +100,7 @@ def start_published(
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         name = f"{stream}-{batch_id:010d}"
-        record = _read(spark, f"{root}/{_RECORDS}/{name}.json")
+        record = read_json(spark, f"{root}/{_RECORDS}/{name}.json")
         if record is not None:
             return
         rows = telemetry.flatten(batch, zone=zone)
@@ -166,8 +132,8 @@ def compact(spark: SparkSession, root: str, target_mb: int = 128) -> int:
     number = sum(file.startswith("compact-") for file, _, _ in _records(spark, root))
     small, size = [], 0
     for folder in folders(spark, root):
-        place, store = _place(spark, f"{root}/{folder}")
-        about = store.getContentSummary(place)
+        there, store = place(spark, f"{root}/{folder}")
+        about = store.getContentSummary(there)
         if about.getLength() < target / 2 * max(1, about.getFileCount()):
             small.append(folder)
             size += about.getLength()
@@ -186,15 +152,15 @@ def vacuum(spark: SparkSession, root: str, older_than_s: float = 7 * 24 * 3600)
     Folders of batches that died go too. Records stay: they are small, and say
     what a batch that is run again has done.
     """
-    place, store = _place(spark, f"{root}/data")
+    there, store = place(spark, f"{root}/data")
     shown, before = set(folders(spark, root)), (time.time() - older_than_s) * 1000
     # The last records made: a folder may be dropped long after it was written.
     dropped_at = {}
     for file, _, drops in _records(spark, root):
-        made = store.getFileStatus(_place(spark, f"{root}/{_RECORDS}/{file}")[0]).getModificationTime()
+        made = store.getFileStatus(place(spark, f"{root}/{_RECORDS}/{file}")[0]).getModificationTime()
         dropped_at |= {f: max(made, dropped_at.get(f, 0)) for f in drops}
     gone = 0
-    for status in store.listStatus(place):
+    for status in store.listStatus(there):
         folder = f"data/{status.getPath().getName()}"
         if folder not in shown and max(status.getModificationTime(), dropped_at.get(folder, 0)) < before:
             gone += store.delete(status.getPath(), True)
