@@ -23,6 +23,7 @@ from feedmill.plans import engagement_batch, quake_convert, telemetry_batch
 from feedmill.session import prepare, scratch_dir
 from feedmill.sinks import kafka_messages, write_json_lines
 from feedmill.sources import read_avro, read_lines, read_parquet, read_quake_csv, stream_lines
+from feedmill.sources.file_structure import file_structure
 from feedmill.streaming import published, start_critical, start_split
 
 
@@ -225,6 +226,19 @@ def quakes_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select(F.concat_ws(":", "format", "codec").alias("codec"), "rows")
 
 
+def quakes_structure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The codec and the rows that the files of all seven conversions show of themselves, and how little of them is read."""
+    csv = feeds.feed_folder(prepare(spark), sf_dir, "quakes3")
+    outputs = quake_convert.convert_all(spark, [csv], scratch_dir(spark, "quake-structure"))
+    files = file_structure(spark, [(o.path, o.format) for o in outputs])
+    kinds = F.array(*[F.lit(o.format) for o in outputs])
+    sums = files.groupBy("output", "codec").agg(
+        F.sum("rows").alias("rows"), (F.sum("bytes_read") * 2 < F.sum("bytes")).alias("under_half_read")
+    )
+    kind = F.element_at(kinds, F.col("output") + 1)
+    return sums.select(F.concat_ws(":", kind, "codec").alias("codec"), "rows", "under_half_read")
+
+
 _EVENT_FIELDS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
 
@@ -281,6 +295,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "quakes_avro_rows": quakes_avro_rows,
         "quakes_avro_roundtrip": quakes_avro_roundtrip,
         "quakes_matrix": quakes_matrix,
+        "quakes_structure": quakes_structure,
         "jsonl_roundtrip": jsonl_roundtrip,
         "kafka_messages": kafka_messages_text,
     }

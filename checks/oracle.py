@@ -263,6 +263,13 @@ WHERE reason IS NOT NULL GROUP BY ALL""",
         "SELECT count(*) AS rows FROM events",
         ["avro:null", "avro:deflate", "avro:snappy", "parquet:NONE", "parquet:SNAPPY", "parquet:GZIP", "parquet:LZ4"],
     ),
+    "quakes_structure": _per_codec(
+        "SELECT count(*) AS rows, true AS under_half_read FROM events",
+        [
+            *["avro:null", "avro:deflate", "avro:snappy"],
+            *["parquet:uncompressed", "parquet:snappy", "parquet:gzip", "parquet:lz4"],
+        ],
+    ).replace("SELECT codec, rows FROM", "SELECT codec, rows, under_half_read FROM"),
     "jsonl_roundtrip": """SELECT event_id, ts, user_id, event_type, value, props FROM events""",
     "kafka_messages": """SELECT * FROM events""",
 }
