@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from checks import feeds
 from checks.oracle import ORACLES
 from feedmill.operators import engagement, quakes, telemetry
-from feedmill.operators.quality import conformance, manifest, reject_counts, route_counts
+from feedmill.operators.quality import conformance, fold_conformance, manifest, reject_counts, route_counts
 from feedmill.plans import engagement_batch, quake_convert, telemetry_batch
 from feedmill.session import prepare, scratch_dir
 from feedmill.sinks import kafka_messages, write_json_lines
@@ -71,7 +71,7 @@ def telemetry_stream_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _zone_free(parts[0].unionByName(parts[1]))
 
 
-def _published(spark: SparkSession, sf_dir: str) -> str:
+def _published(spark: SparkSession, sf_dir: str, conformance: bool = False) -> str:
     """The feed published in several batches, the stream stopped twice on the way and restarted from its checkpoint.
 
     It stops when the second batch is written but not committed, and when the
@@ -88,7 +88,7 @@ def _published(spark: SparkSession, sf_dir: str) -> str:
 
         try:
             lines = stream_lines(spark, folder, max_files=2)
-            published.start_published(lines, root, state, step=step).awaitTermination()
+            published.start_published(lines, root, state, step=step, conformance=conformance).awaitTermination()
         except StreamingQueryException as error:
             if stop is None or "InterruptedError" not in str(error):
                 raise
@@ -125,6 +125,14 @@ def telemetry_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _both_routes(spark, root)
 
 
+def telemetry_stream_conformance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report folded from the counters of every batch, of a stream that died and was restarted, after compaction."""
+    root = _published(spark, sf_dir, conformance=True)
+    published.compact(spark, root)
+    published.vacuum(spark, root, older_than_s=-1)
+    return fold_conformance(published.read_conformance(spark, root))
+
+
 def telemetry_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = telemetry.accepted(_rows(spark, sf_dir), enriched=True)
     return _zone_free(rows.withColumn("status_flags", F.array_join("status_flags", ",")))
@@ -233,10 +241,12 @@ def quakes_structure(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = file_structure(spark, [(o.path, o.format) for o in outputs])
     kinds = F.array(*[F.lit(o.format) for o in outputs])
     sums = files.groupBy("output", "codec").agg(
-        F.sum("rows").alias("rows"), (F.sum("bytes_read") * 2 < F.sum("bytes")).alias("under_half_read")
+        F.sum("rows").alias("rows"),
+        # A head or footer a file, and a small share of the rest.
+        (F.sum("bytes_read") < 8192 * F.count("*") + F.sum("bytes") / 10).alias("little_read"),
     )
     kind = F.element_at(kinds, F.col("output") + 1)
-    return sums.select(F.concat_ws(":", kind, "codec").alias("codec"), "rows", "under_half_read")
+    return sums.select(F.concat_ws(":", kind, "codec").alias("codec"), "rows", "little_read")
 
 
 _EVENT_FIELDS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
@@ -282,6 +292,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "telemetry_published": telemetry_published,
         "telemetry_published_rejects": telemetry_published_rejects,
         "telemetry_compacted": telemetry_compacted,
+        "telemetry_stream_conformance": telemetry_stream_conformance,
         "telemetry_enriched": telemetry_enriched,
         "telemetry_routes": telemetry_routes,
         "telemetry_rejects": telemetry_rejects,

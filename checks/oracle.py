@@ -251,6 +251,7 @@ WHERE reason IS NOT NULL GROUP BY ALL""",
 SELECT reason, coalesce(route, 'none') AS route, count(*) AS rows FROM judged
 WHERE reason IS NOT NULL GROUP BY ALL""",
     "telemetry_conformance": _conformance(),
+    "telemetry_stream_conformance": _conformance(),
     "telemetry_parquet_roundtrip": _flat("batch"),
     "fan_valid": _FAN_VALID,
     "fan_rejects": f"{_FAN} SELECT reason, count(*) AS rows FROM judged WHERE reason IS NOT NULL GROUP BY ALL",
@@ -264,12 +265,12 @@ WHERE reason IS NOT NULL GROUP BY ALL""",
         ["avro:null", "avro:deflate", "avro:snappy", "parquet:NONE", "parquet:SNAPPY", "parquet:GZIP", "parquet:LZ4"],
     ),
     "quakes_structure": _per_codec(
-        "SELECT count(*) AS rows, true AS under_half_read FROM events",
+        "SELECT count(*) AS rows, true AS little_read FROM events",
         [
             *["avro:null", "avro:deflate", "avro:snappy"],
             *["parquet:uncompressed", "parquet:snappy", "parquet:gzip", "parquet:lz4"],
         ],
-    ).replace("SELECT codec, rows FROM", "SELECT codec, rows, under_half_read FROM"),
+    ).replace("SELECT codec, rows FROM", "SELECT codec, rows, little_read FROM"),
     "jsonl_roundtrip": """SELECT event_id, ts, user_id, event_type, value, props FROM events""",
     "kafka_messages": """SELECT * FROM events""",
 }

@@ -169,29 +169,108 @@ def _checks(name: str) -> dict[str, Column]:
     return checks
 
 
-def conformance(flat: DataFrame) -> DataFrame:
-    """Per column: nulls, values below or above the range, values outside the choices.
-
-    One pass of conditional counts, folded map-side to a single row, then turned
-    into one row per column. Checks a column does not have are NULL.
-    """
-    counters = [
-        F.count_if(condition).alias(f"{name}__{check}")
+def _report(flat: DataFrame, extra: dict[str, dict[str, Column]], types: dict[str, str]) -> DataFrame:
+    """One pass of aggregates, folded map-side to a single row, then one row per column; what a column lacks is NULL."""
+    asked = {
+        name: {check: F.count_if(condition) for check, condition in _checks(name).items()} | extra.get(name, {})
         for name in FLAT_COLUMNS
-        for check, condition in _checks(name).items()
-    ]
-    totals = flat.agg(F.count("*").alias("_rows"), *counters)
+    }
+    named = [column.alias(f"{name}__{part}") for name, parts in asked.items() for part, column in parts.items()]
+    totals = flat.agg(F.count("*").alias("_rows"), *named)
+    kinds = dict.fromkeys(_CHECKS, "long") | types
     per_column = [
         F.struct(
             F.lit(name).alias("column_name"),
             F.col("_rows").alias("rows"),
             *[
-                (
-                    F.col(f"{name}__{check}") if f"{name}__{check}" in totals.columns else F.lit(None).cast("long")
-                ).alias(check)
-                for check in _CHECKS
+                (F.col(f"{name}__{part}") if part in asked[name] else F.lit(None).cast(kind)).alias(part)
+                for part, kind in kinds.items()
             ],
         )
         for name in FLAT_COLUMNS
     ]
     return totals.select(F.inline(F.array(*per_column)))
+
+
+def conformance(flat: DataFrame) -> DataFrame:
+    """Per column: nulls, values below or above the range, values outside the choices.
+
+    Checks a column does not have are NULL.
+    """
+    return _report(flat, {}, {})
+
+
+# A rank read off a sketch of this size is within about 1.3 % of the true one, folded or not.
+_SKETCH_SIZE = 200
+
+
+def conformance_counters(flat: DataFrame) -> DataFrame:
+    """The report of some rows with, per number, a quantile sketch: to be folded with those of other rows.
+
+    A sketch takes a few kilobytes however many rows it stands for. NaN and nulls are not in it.
+    """
+    sketches = {}
+    for name in RANGES:
+        value = F.col(name).cast("double")
+        sketches[name] = {"sketch": F.kll_sketch_agg_double(F.when(~F.isnan(value), value), _SKETCH_SIZE)}
+    return _report(flat, sketches, {"sketch": "binary"})
+
+
+def _folded(counters: DataFrame) -> DataFrame:
+    sums = [F.sum(c).alias(c) for c in ["rows", *_CHECKS]]
+    return counters.groupBy("column_name").agg(*sums, F.kll_merge_agg_double("sketch", _SKETCH_SIZE).alias("sketch"))
+
+
+def fold_conformance(counters: DataFrame) -> DataFrame:
+    """The report of all rows from the counters of their parts; equal to ``conformance`` of the rows."""
+    return counters.groupBy("column_name").agg(*[F.sum(c).alias(c) for c in ["rows", *_CHECKS]])
+
+
+def _filled(sketch: Column) -> Column:
+    """A sketch, or NULL if no value is in it."""
+    return F.when(F.kll_sketch_get_n_double(sketch) > 0, sketch)
+
+
+def _cuts(sketch: Column, at: list[float]) -> Column:
+    return F.kll_sketch_get_quantile_double(sketch, F.array(*[F.lit(float(q)) for q in at]))
+
+
+def fold_quantiles(counters: DataFrame, at: list[float]) -> DataFrame:
+    """Per number: how many values there are, and the values at the given ranks (NULL without values)."""
+    numbers = _folded(counters.where(F.col("column_name").isin(*RANGES)))
+    full = numbers.withColumn("sketch", _filled(F.col("sketch")))
+    count = F.coalesce(F.kll_sketch_get_n_double("sketch"), F.lit(0).cast("long"))
+    return full.select("column_name", count.alias("n_values"), _cuts(F.col("sketch"), at).alias("quantiles"))
+
+
+def drift(earlier: DataFrame, later: DataFrame) -> DataFrame:
+    """Per column, how the later rows differ from the earlier ones, from the counters of both.
+
+    ``null_shift`` and ``breach_shift`` are differences of shares (of nulls; of values beyond the
+    range or outside the choices); ``rank_shift`` is the largest distance between the two
+    distribution functions, seen at 99 quantiles of either, and NULL where one side has no number.
+    The sketches make it uncertain by some 0.03.
+    """
+    at = [k / 100 for k in range(1, 100)]
+
+    def side(counters: DataFrame, name: str) -> DataFrame:
+        breaches = sum((F.coalesce(c, F.lit(0)) for c in ("below", "above", "outside")), F.lit(0))
+        return _folded(counters).select(
+            "column_name",
+            F.try_divide("nulls", "rows").alias(f"{name}_nulls"),
+            F.try_divide(breaches, F.col("rows")).alias(f"{name}_breaches"),
+            _cuts(_filled(F.col("sketch")), at).alias(name),
+        )
+
+    both = side(earlier, "a").join(side(later, "b"), "column_name", "full")
+
+    def below(x: Column, side: str) -> Column:
+        return F.size(F.filter(side, lambda y: y <= x))
+
+    apart = F.transform(F.concat("a", "b"), lambda x: F.abs(below(x, "a") - below(x, "b")) / len(at))
+    return both.select(
+        "column_name",
+        (F.col("b_nulls") - F.col("a_nulls")).alias("null_shift"),
+        (F.col("b_breaches") - F.col("a_breaches")).alias("breach_shift"),
+        F.array_max(apart).alias("rank_shift"),
+    )

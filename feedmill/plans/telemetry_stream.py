@@ -25,6 +25,7 @@ def main() -> None:
     parser.add_argument(
         "--publish", action="store_true", help="both routes and the rejects under output_path, seen together by readers"
     )
+    parser.add_argument("--conformance", action="store_true", help="with --publish: keep counters and sketches of every batch")
     parser.add_argument("--every", default="1 minute", help="micro-batch interval")
     parser.add_argument("--shards", type=int, help="files per micro-batch; one per task by default")
     parser.add_argument("--enriched", action="store_true")
@@ -32,6 +33,8 @@ def main() -> None:
     args = parser.parse_args()
     if args.publish and (args.rejects_path or args.enriched):
         parser.error("--publish keeps the rejects itself; derived columns are worked out at reading")
+    if args.conformance and not args.publish:
+        parser.error("--conformance needs --publish")
     if args.bootstrap_servers and not args.topic:
         parser.error("--bootstrap_servers needs --topic")
 
@@ -41,7 +44,9 @@ def main() -> None:
     else:
         lines = stream_lines(spark, args.input_path)
     if args.publish:
-        query = start_published(lines, args.output_path, args.checkpoint_path, args.every, args.zone, args.shards)
+        query = start_published(
+            lines, args.output_path, args.checkpoint_path, args.every, args.zone, args.shards, args.conformance
+        )
     elif args.rejects_path:
         query = start_split(
             lines,

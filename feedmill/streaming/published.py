@@ -8,6 +8,10 @@ that nobody reads, and is written anew; one that dies after it is passed over wh
 the stream runs it again. Every line lands exactly once, in all outputs at the
 same moment.
 
+With ``conformance`` a batch's counters (``operators/quality.py``) are written beside it
+before its record is made, and seen with it. They fold to the report of all rows, and
+stay when the rows are compacted.
+
 Small files of many batches are rewritten by ``compact``: its record adds the new
 folder and drops the old ones in one step. ``vacuum`` deletes what is not read any
 more.
@@ -25,11 +29,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from feedmill.operators import telemetry
-from feedmill.stores import create_json, place, read_json
+from feedmill.operators.quality import conformance_counters
+from feedmill.stores import create_json, exists, place, read_json
 
 REJECTS = "rejects"
 _FOLDER = "written"
 _RECORDS = "commits"
+_COUNTERS = "conformance"
+_COMPACTED = "compact-"
 _RECORD = "adds array<string>, drops array<string>"
 
 #: Called as ``step(name, batch_id)`` when a batch is ``written`` and when it is ``committed``.
@@ -80,6 +87,25 @@ def read_published(spark: SparkSession, root: str, kind: str | None = None) -> D
     return rows.select(*telemetry.FLAT_COLUMNS)
 
 
+def _counters(folder: str) -> str:
+    return f"{_COUNTERS}/{folder.removeprefix('data/')}"
+
+
+def read_conformance(spark: SparkSession, root: str) -> DataFrame:
+    """The counters of every batch published so far, with its name as ``written``; to be folded, or compared in spans.
+
+    All batches must have been published with ``conformance``, or the report would not be whole.
+    """
+    batches = [f for file, adds, _ in _records(spark, root) if not file.startswith(_COMPACTED) for f in adds]
+    if not batches:
+        raise ValueError(f"nothing is published at {root}")
+    found = [f"{root}/{_counters(f)}" for f in sorted(batches)]
+    without = [f for f in found if not exists(spark, f)]
+    if without:
+        raise ValueError(f"published without counters: {', '.join(without[:3])}")
+    return spark.read.option("basePath", f"{root}/{_COUNTERS}").parquet(*found)
+
+
 def start_published(
     lines: DataFrame,
     root: str,
@@ -87,12 +113,14 @@ def start_published(
     every: str | None = None,
     zone: str = "UTC",
     shards: int | None = None,
+    conformance: bool = False,
     step: Step = lambda name, batch_id: None,
 ) -> StreamingQuery:
     """Publish both routes and the rejects of a stream of lines under ``root``.
 
     One stream writes under a checkpoint; others may publish to the same root.
-    ``shards`` fixes the files of a batch's kinds. ``step`` is told how far a
+    ``shards`` fixes the files of a batch's kinds. ``conformance`` keeps counters of the
+    good rows, read off the written columns. ``step`` is told how far a
     batch is, and may stop it by raising.
     """
     stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
@@ -112,6 +140,9 @@ def start_published(
             rows = rows.repartition(shards)
         folder = f"data/{_FOLDER}={name}-{uuid.uuid4().hex}"
         rows.write.partitionBy("kind").option("compression", "gzip").parquet(f"{root}/{folder}")
+        if conformance:
+            good_rows = spark.read.schema(rows.schema).parquet(f"{root}/{folder}").where(F.col("kind") != REJECTS)
+            conformance_counters(good_rows).write.parquet(f"{root}/{_counters(folder)}")
         step("written", batch_id)
         _commit(spark, root, name, [folder], [], renew=True)
         step("committed", batch_id)
@@ -129,7 +160,7 @@ def compact(spark: SparkSession, root: str, target_mb: int = 128) -> int:
     compactions at a time the later one gives up.
     """
     target = target_mb * 1024 * 1024
-    number = sum(file.startswith("compact-") for file, _, _ in _records(spark, root))
+    number = sum(file.startswith(_COMPACTED) for file, _, _ in _records(spark, root))
     small, size = [], 0
     for folder in folders(spark, root):
         there, store = place(spark, f"{root}/{folder}")
@@ -140,23 +171,24 @@ def compact(spark: SparkSession, root: str, target_mb: int = 128) -> int:
     if len(small) < 2:
         return 0
     rows = _rows(spark, root, small)
-    folder = f"data/{_FOLDER}=compact-{uuid.uuid4().hex}"
+    folder = f"data/{_FOLDER}={_COMPACTED}{uuid.uuid4().hex}"
     written = rows.coalesce(max(1, -(-size // target))).write.partitionBy("kind").option("compression", "gzip")
     written.parquet(f"{root}/{folder}")
-    return len(small) if _commit(spark, root, f"compact-{number:010d}", [folder], small) else 0
+    return len(small) if _commit(spark, root, f"{_COMPACTED}{number:010d}", [folder], small) else 0
 
 
 def vacuum(spark: SparkSession, root: str, older_than_s: float = 7 * 24 * 3600) -> int:
     """Delete folders that no record shows any more, and that no reader of the last ``older_than_s`` seconds can hold.
 
-    Folders of batches that died go too. Records stay: they are small, and say
-    what a batch that is run again has done.
+    Folders of batches that died go too, and their counters. Records and the counters of
+    published batches stay: they are small, and say what a batch that is run again has done.
     """
     there, store = place(spark, f"{root}/data")
     shown, before = set(folders(spark, root)), (time.time() - older_than_s) * 1000
     # The last records made: a folder may be dropped long after it was written.
-    dropped_at = {}
-    for file, _, drops in _records(spark, root):
+    dropped_at, counted = {}, set()
+    for file, adds, drops in _records(spark, root):
+        counted |= {_counters(f) for f in adds}
         made = store.getFileStatus(place(spark, f"{root}/{_RECORDS}/{file}")[0]).getModificationTime()
         dropped_at |= {f: max(made, dropped_at.get(f, 0)) for f in drops}
     gone = 0
@@ -164,4 +196,8 @@ def vacuum(spark: SparkSession, root: str, older_than_s: float = 7 * 24 * 3600)
         folder = f"data/{status.getPath().getName()}"
         if folder not in shown and max(status.getModificationTime(), dropped_at.get(folder, 0)) < before:
             gone += store.delete(status.getPath(), True)
+    there, _ = place(spark, f"{root}/{_COUNTERS}")
+    for status in store.listStatus(there) if store.exists(there) else []:
+        if f"{_COUNTERS}/{status.getPath().getName()}" not in counted and status.getModificationTime() < before:
+            store.delete(status.getPath(), True)
     return gone
