@@ -179,8 +179,27 @@ def _telemetry_json() -> str:
     )
 
 
-def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet").withColumnRenamed("event_id", "e")
+#: Lines of one task, and of one file of the telemetry feed.
+LINES_AT_ONCE = 25_000
+
+_counted: dict[tuple[str, str], int] = {}
+
+
+def parts(spark: SparkSession, sf_dir: str) -> int:
+    """Tasks that make the lines of a feed, and files of the telemetry feed: they grow with the events."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _counted:
+        _counted[key] = spark.read.parquet(f"{sf_dir}/events.parquet").count()
+    return max(spark.sparkContext.defaultParallelism, -(-_counted[key] // LINES_AT_ONCE))
+
+
+def _events(spark: SparkSession, sf_dir: str, tasks: int | None = None) -> DataFrame:
+    """The events, dealt to tasks while they are narrow: a table of few row groups has few scan tasks.
+
+    By hash, since a round-robin exchange sorts its rows first.
+    """
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").withColumnRenamed("event_id", "e")
+    return events.repartition(tasks or parts(spark, sf_dir), "e", "ts", "user_id")
 
 
 def telemetry_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -233,9 +252,9 @@ def _fan_json() -> str:
     )
 
 
-def fan_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fan_lines(spark: SparkSession, sf_dir: str, tasks: int | None = None) -> DataFrame:
     """One fan engagement line per event."""
-    documents = _events(spark, sf_dir).select("e", F.expr(_fan_json()).alias("j"))
+    documents = _events(spark, sf_dir, tasks).select("e", F.expr(_fan_json()).alias("j"))
     return documents.select(
         F.expr(
             """CASE WHEN e % 101 = 0 THEN concat(left(j, 30), '}')
@@ -246,13 +265,13 @@ def fan_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def quake_table(spark: SparkSession, sf_dir: str, decimals: int = 3) -> DataFrame:
+def quake_table(spark: SparkSession, sf_dir: str, decimals: int = 3, tasks: int | None = None) -> DataFrame:
     """One earthquake record per event as text columns, one column more than needed.
 
     Coordinates carry ``decimals`` places; with four, a tenth of them lie half-way.
     """
     step = 10**decimals
-    return _events(spark, sf_dir).select(
+    return _events(spark, sf_dir, tasks).select(
         F.expr(
             """CASE WHEN e % 3 = 0 THEN date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSS")
                     ELSE date_format(ts, 'yyyy-MM-dd HH:mm:ss') END"""
@@ -276,18 +295,21 @@ _written: dict[tuple[str, str, str], str] = {}
 
 
 def feed_folder(spark: SparkSession, sf_dir: str, name: str) -> str:
-    """The folder of a feed's files in the shared scratch folder, written once per session."""
+    """The folder of a feed's files in the shared scratch folder, written once per session.
+
+    Telemetry lines are long and much alike: their files are compressed, and so small that a task reads one whole.
+    """
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _written:
         folder = scratch_dir(spark, name)
         files = spark.sparkContext.defaultParallelism
         if name == "telemetry":
-            telemetry_lines(spark, sf_dir).repartition(files).write.text(folder)
+            telemetry_lines(spark, sf_dir).write.text(folder)
         elif name == "fan":
-            fan_lines(spark, sf_dir).repartition(files).write.text(folder)
+            fan_lines(spark, sf_dir, files).write.text(folder)
         else:
             decimals = int(name.removeprefix("quakes"))
-            writer = quake_table(spark, sf_dir, decimals).repartition(files).write.option("header", True).option("escape", '"')
+            writer = quake_table(spark, sf_dir, decimals, files).write.option("header", True).option("escape", '"')
             keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
             writer.options(**keep).csv(folder)
         _written[key] = folder
