@@ -42,6 +42,24 @@ def _zone_free(df: DataFrame) -> DataFrame:
     )
 
 
+@contextmanager
+def _scan_ranges(spark: SparkSession, kilobytes: int) -> Iterator[None]:
+    """Scan tasks of about this size, so that small files have many ranges."""
+    sizes = {"maxPartitionBytes": f"{kilobytes}k", "openCostInBytes": f"{kilobytes}k"}
+    before = {key: spark.conf.get(f"spark.sql.files.{key}") for key in sizes}
+    for key, value in sizes.items():
+        spark.conf.set(f"spark.sql.files.{key}", value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(f"spark.sql.files.{key}", value)
+
+
+#: Kilobytes of the compressed feed that one task scans: they hold some ten times as much text.
+FEED_SCAN = 16 * 1024
+
+
 def telemetry_flat_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = telemetry.flatten(feeds.telemetry_lines(prepare(spark), sf_dir), route=telemetry.BATCH)
     return _zone_free(telemetry.accepted(rows, telemetry.BATCH))
@@ -52,7 +70,8 @@ def telemetry_flat_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     out, state = scratch_dir(spark, "critical"), scratch_dir(spark, "critical-state")
     lines = stream_lines(spark, feeds.feed_folder(spark, sf_dir, "telemetry"))
-    start_critical(lines, out, state).awaitTermination()
+    with _scan_ranges(spark, FEED_SCAN):
+        start_critical(lines, out, state).awaitTermination()
     return _zone_free(read_parquet(spark, out))
 
 
@@ -61,9 +80,10 @@ def telemetry_stream_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     outputs = {r: scratch_dir(spark, f"split-{r}") for r in (telemetry.BATCH, telemetry.STREAM)}
     lines = stream_lines(spark, feeds.feed_folder(spark, sf_dir, "telemetry"))
-    start_split(
-        lines, outputs, scratch_dir(spark, "split-rejects"), scratch_dir(spark, "split-state")
-    ).awaitTermination()
+    with _scan_ranges(spark, FEED_SCAN):
+        start_split(
+            lines, outputs, scratch_dir(spark, "split-rejects"), scratch_dir(spark, "split-state")
+        ).awaitTermination()
     parts = [
         read_parquet(spark, folder).select(*telemetry.FLAT_COLUMNS, F.lit(route).alias("route"))
         for route, folder in outputs.items()
@@ -93,8 +113,9 @@ def _published(spark: SparkSession, sf_dir: str, conformance: bool = False) -> s
             if stop is None or "InterruptedError" not in str(error):
                 raise
 
-    for stop in (("written", 1), ("committed", 2), None):
-        run(stop)
+    with _scan_ranges(spark, FEED_SCAN):
+        for stop in (("written", 1), ("committed", 2), None):
+            run(stop)
     return root
 
 
@@ -153,8 +174,9 @@ def telemetry_conformance(spark: SparkSession, sf_dir: str) -> DataFrame:
 def telemetry_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The batch job over the feed's files, read back from its Parquet output."""
     prepare(spark)
-    out = scratch_dir(spark, "batch")
-    telemetry_batch.run(spark, feeds.feed_folder(spark, sf_dir, "telemetry"), out, scratch_dir(spark, "batch-rejects"))
+    out, feed = scratch_dir(spark, "batch"), feeds.feed_folder(spark, sf_dir, "telemetry")
+    with _scan_ranges(spark, FEED_SCAN):
+        telemetry_batch.run(spark, feed, out, scratch_dir(spark, "batch-rejects"))
     return _zone_free(read_parquet(spark, out))
 
 
@@ -189,20 +211,6 @@ def quakes_parquet_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quakes.parquet_rows(read_quake_csv(spark, csv))
 
 
-@contextmanager
-def _scan_ranges(spark: SparkSession, kilobytes: int) -> Iterator[None]:
-    """Scan tasks of about this size, so that small files have many ranges."""
-    sizes = {"maxPartitionBytes": f"{kilobytes}k", "openCostInBytes": f"{kilobytes}k"}
-    before = {key: spark.conf.get(f"spark.sql.files.{key}") for key in sizes}
-    for key, value in sizes.items():
-        spark.conf.set(f"spark.sql.files.{key}", value)
-    try:
-        yield
-    finally:
-        for key, value in before.items():
-            spark.conf.set(f"spark.sql.files.{key}", value)
-
-
 def quakes_split_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV with quoted line breaks, converted by many tasks a file; read back from the Parquet output."""
     csv = feeds.feed_folder(prepare(spark), sf_dir, "quakes3")

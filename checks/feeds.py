@@ -304,7 +304,7 @@ def feed_folder(spark: SparkSession, sf_dir: str, name: str) -> str:
         folder = scratch_dir(spark, name)
         files = spark.sparkContext.defaultParallelism
         if name == "telemetry":
-            telemetry_lines(spark, sf_dir).write.text(folder)
+            telemetry_lines(spark, sf_dir).write.text(folder, compression="gzip")
         elif name == "fan":
             fan_lines(spark, sf_dir, files).write.text(folder)
         else:

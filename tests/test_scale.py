@@ -41,3 +41,10 @@ def test_lines_of_a_small_scan_are_made_by_many_tasks(spark, tables, monkeypatch
     monkeypatch.setattr(feeds, "LINES_AT_ONCE", 100)
     assert feeds.telemetry_lines(spark, tables).rdd.getNumPartitions() == EVENTS // 100
     assert feeds.telemetry_lines(spark, tables).count() == EVENTS
+
+
+def test_feed_files_are_compressed_and_hold_every_line(spark, tables):
+    folder = feeds.feed_folder(spark, tables, "telemetry")
+    files = read_lines(spark, folder).inputFiles()
+    assert files and all(f.endswith(".gz") for f in files)
+    assert _bag(read_lines(spark, folder)) == _bag(feeds.telemetry_lines(spark, tables))
