@@ -91,6 +91,10 @@ def telemetry_stream_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _zone_free(parts[0].unionByName(parts[1]))
 
 
+#: Batches of a large feed.
+BATCHES = 6
+
+
 def _published(spark: SparkSession, sf_dir: str, conformance: bool = False) -> str:
     """The feed published in several batches, the stream stopped twice on the way and restarted from its checkpoint.
 
@@ -100,6 +104,8 @@ def _published(spark: SparkSession, sf_dir: str, conformance: bool = False) -> s
     prepare(spark)
     root, state = scratch_dir(spark, "published"), scratch_dir(spark, "published-state")
     folder = feeds.feed_folder(spark, sf_dir, "telemetry")
+    # Two files of a small feed; a large one has many files, and not more batches for it.
+    max_files = max(2, -(-feeds.parts(spark, sf_dir) // BATCHES))
 
     def run(stop: tuple[str, int] | None) -> None:
         def step(name: str, batch_id: int) -> None:
@@ -107,7 +113,7 @@ def _published(spark: SparkSession, sf_dir: str, conformance: bool = False) -> s
                 raise InterruptedError(f"stopped when batch {batch_id} was {name}")
 
         try:
-            lines = stream_lines(spark, folder, max_files=2)
+            lines = stream_lines(spark, folder, max_files=max_files)
             published.start_published(lines, root, state, step=step, conformance=conformance).awaitTermination()
         except StreamingQueryException as error:
             if stop is None or "InterruptedError" not in str(error):

@@ -48,3 +48,10 @@ def test_feed_files_are_compressed_and_hold_every_line(spark, tables):
     files = read_lines(spark, folder).inputFiles()
     assert files and all(f.endswith(".gz") for f in files)
     assert _bag(read_lines(spark, folder)) == _bag(feeds.telemetry_lines(spark, tables))
+
+
+def test_a_large_feed_is_published_in_few_batches(spark, tables, monkeypatch):
+    monkeypatch.setattr(feeds, "LINES_AT_ONCE", 100)
+    root = queries._published(spark, tables)
+    assert 3 <= len(published._records(spark, root)) <= queries.BATCHES
+    assert published.read_published(spark, root).count() == EVENTS
