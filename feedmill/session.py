@@ -15,6 +15,8 @@ RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     # Instants are stored as milliseconds in UTC, with statistics readers can skip by.
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MILLIS",
+    # A task that writes a few partitions keeps a writer open for each, where it would sort all its rows.
+    "spark.sql.maxConcurrentOutputFileWriters": "8",
 }
 
 

@@ -77,3 +77,17 @@ def test_split_holds_no_rows_and_no_lines_of_good_rows(spark, tmp_path, monkeypa
     rejects = read_parquet(spark, str(tmp_path / "bad"))
     assert rejects.where("line IS NULL").count() == 0
     assert sum(read_parquet(spark, o).count() for o in outputs.values()) + rejects.count() == len(texts)
+
+
+def test_compaction_and_published_batches_do_not_sort(spark, tables):
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    root = queries._published(spark, tables)
+    rows = _bag(published.read_published(spark, root))
+    assert published.compact(spark, root) >= 3
+    assert _bag(published.read_published(spark, root)) == rows
+    time.sleep(1)
+    runs = store.executionsList()
+    plans = [runs.apply(k).physicalPlanDescription() for k in range(int(before), runs.size())]
+    writes = [p for p in plans if "InsertIntoHadoopFsRelationCommand" in p and "kind" in p]
+    assert writes and not [p for p in writes if "Sort" in p]
