@@ -24,6 +24,7 @@ from feedmill.session import prepare, scratch_dir
 from feedmill.sinks import kafka_messages, write_json_lines
 from feedmill.sources import read_avro, read_lines, read_parquet, read_quake_csv, stream_lines
 from feedmill.sources.file_structure import file_structure
+from feedmill.stores import place
 from feedmill.streaming import published, start_critical, start_split
 
 
@@ -217,10 +218,15 @@ def quakes_parquet_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quakes.parquet_rows(read_quake_csv(spark, csv))
 
 
+#: Ranges that a feed too large for 64 kilobytes each is cut into.
+RANGES = 512
+
+
 def quakes_split_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV with quoted line breaks, converted by many tasks a file; read back from the Parquet output."""
     csv = feeds.feed_folder(prepare(spark), sf_dir, "quakes3")
-    with _scan_ranges(spark, 64):
+    folder, store = place(spark, csv)
+    with _scan_ranges(spark, max(64, store.getContentSummary(folder).getLength() // (1024 * RANGES))):
         path = quake_convert.convert(spark, csv, scratch_dir(spark, "quake-split"), "parquet", "SNAPPY", split=True)
     return read_parquet(spark, path)
 

@@ -91,3 +91,12 @@ def test_compaction_and_published_batches_do_not_sort(spark, tables):
     plans = [runs.apply(k).physicalPlanDescription() for k in range(int(before), runs.size())]
     writes = [p for p in plans if "InsertIntoHadoopFsRelationCommand" in p and "kind" in p]
     assert writes and not [p for p in writes if "Sort" in p]
+
+
+def test_ranges_of_a_large_csv_grow_with_it(spark, tables, monkeypatch):
+    asked, ranges = [], queries._scan_ranges
+    monkeypatch.setattr(queries, "_scan_ranges", lambda spark, size: asked.append(size) or ranges(spark, size))
+    small = _bag(queries.quakes_split_csv(spark, tables))
+    monkeypatch.setattr(queries, "RANGES", 2, raising=False)
+    assert _bag(queries.quakes_split_csv(spark, tables)) == small and len(small) == EVENTS
+    assert asked[0] == 64 < asked[1]
