@@ -14,7 +14,7 @@ import functools
 import os
 import zlib
 from collections.abc import Callable, Iterator
-from itertools import batched
+from itertools import batched, chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,13 +29,19 @@ from feedmill.llm.token_counts import ship
 
 WINDOW = 4096
 END = 2
-#: Words that a worker remembers the ids of.
-CACHE_WORDS = 300_000
+#: Words that a worker remembers the ids of: about 200 bytes each.
+CACHE_WORDS = 600_000
 #: Words that the library gets as one text.
 WORDS_AT_ONCE = 1000
 WORD_END = "</w>"
-#: Words of letters that the tokenizer keeps together and lowers one by one, with a mark behind them or not.
-PLAIN = "^[A-Za-zÀ-ÖØ-öø-ÿ]+[.,]?$"
+#: Words of letters that the tokenizer keeps together and lowers one by one.
+PLAIN = "^[A-Za-zÀ-ÖØ-öø-ÿ]+$"
+#: Where marks begin that are a token run of their own: behind such a letter.
+LETTER_LAST = "[A-Za-zÀ-ÖØ-öø-ÿ]$"
+#: Marks of ASCII but for the apostrophe, which the tokenizer takes together with letters behind it.
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: How strings begin that the tokenizer takes as one token wherever they stand.
+SPECIAL = "<|"
 TOKEN_BYTES = 4
 
 _STREAM = "doc_id bigint, doc_tokens bigint, ids binary, part int, at bigint"
@@ -52,9 +58,10 @@ class WordEncoder:
     """Ids of texts through the library, word by word.
 
     The tokenizer splits at white space before anything else and drops it, so the
-    ids of a text are those of its words in order. Arrow cuts a batch into words
-    and numbers the distinct ones; the library sees each once per worker, for as
-    long as the worker remembers it.
+    ids of a text are those of its words in order; it also splits between a letter
+    and the marks that end a word. Arrow cuts a batch into words, numbers the
+    distinct ones and parts these from their marks; the library sees each part
+    once per worker, for as long as the worker remembers it.
     """
 
     def __init__(self, path: str) -> None:
@@ -68,12 +75,12 @@ class WordEncoder:
         # Ids that end a run of letters, if the vocabulary marks them.
         self._ends = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
         self._ends[[i for piece, i in vocabulary.items() if piece.endswith(WORD_END)]] = True
-        self._marks = {m: self._tokenizer.encode(m, add_special_tokens=False).ids for m in ".,"}
         self._memory = Memory(CACHE_WORDS, self._make)
 
     def _each(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = [f.ids for f in self._tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        return np.array([i for ids in found for i in ids], dtype=np.uint32), np.array([len(ids) for ids in found], dtype=np.int64)
+        count = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+        return np.fromiter(chain.from_iterable(found), dtype=np.uint32, count=count.sum()), count
 
     def _joined(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Words of plain letters, many in one text: each ends where an id that ends a word stands."""
@@ -87,26 +94,29 @@ class WordEncoder:
         return tuple(np.concatenate(x) for x in zip(*made))
 
     def _make(self, words: list[str]) -> Made:
-        every = pa.array(words, pa.string())
-        plain = pc.match_substring_regex(every, PLAIN).to_numpy(zero_copy_only=False)
-        order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
-        ids, count = self._each([words[k] for k in np.flatnonzero(~plain)])
-        if plain.any():
-            # A full stop or comma behind letters alone is a token of its own.
-            letters = every.filter(pa.array(plain))
-            stems = pc.utf8_rtrim(letters, ".,").dictionary_encode()
-            which = stems.indices.to_numpy()
-            found, size = self._joined(stems.dictionary.to_pylist())
-            size_of = size[which]
-            found = gather(found, (np.cumsum(size) - size)[which], size_of)
-            ends = np.cumsum(size_of)
-            for mark, number in self._marks.items():
-                marked = pc.ends_with(letters, mark).to_numpy(zero_copy_only=False)
-                found = np.insert(found, ends[marked], number)
-                size_of = size_of + marked
-                ends = np.cumsum(size_of)
-            ids, count = np.concatenate([found, ids]), np.concatenate([size_of, count])
-        return order, ids, count
+        plain = pc.match_substring_regex(pa.array(words, pa.string()), PLAIN).to_numpy(zero_copy_only=False)
+        letters, rest = np.flatnonzero(plain), np.flatnonzero(~plain)
+        made = [self._each([words[k] for k in rest])]
+        if len(letters):
+            made.insert(0, self._joined([words[k] for k in letters]))
+        return np.concatenate([letters, rest]), *(np.concatenate(x) for x in zip(*made))
+
+    def _parted(self, words: pa.LargeStringArray) -> pa.LargeStringArray:
+        """Each word in two parts, one behind the other: up to its last letter and the marks behind that, which may be none."""
+        stems = pc.utf8_rtrim(words, MARKS)
+        cut = pc.and_not(pc.match_substring_regex(stems, LETTER_LAST), pc.match_substring(words, SPECIAL))
+        borders = np.frombuffer(words.buffers()[1], dtype=np.int64)[words.offset :][: len(words) + 1]
+        ends = borders[:-1] + pc.binary_length(pc.if_else(cut, stems, words)).to_numpy()
+        offsets = np.append(np.column_stack([borders[:-1], ends]).ravel(), borders[-1])
+        return pa.LargeStringArray.from_buffers(2 * len(words), pa.py_buffer(offsets), words.buffers()[2])
+
+    def _distinct(self, words: pa.LargeStringArray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of distinct words that occur so many ``times``, and how many each has."""
+        parts = self._parted(words).dictionary_encode()
+        which, spelt = parts.indices.to_numpy(), parts.dictionary.to_numpy(zero_copy_only=False).tolist()
+        uses = np.bincount(which, np.repeat(times, 2), minlength=len(spelt)).astype(np.int64)
+        ids, count = self._memory.gather(self._memory.numbers(spelt, uses)[which])
+        return ids, count[0::2] + count[1::2]
 
     def encode_rows(self, texts: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Offsets of the texts in the row of all their ids, each text's ``end`` behind it if there is one."""
@@ -114,12 +124,13 @@ class WordEncoder:
         words = (lists := pc.split_pattern(texts, " ")).flatten()
         # Words of ASCII are lowered by the tokenizer anyway; not so special strings (<|...|>), which it
         # takes in small letters only. Beyond ASCII that is left to it.
-        lowered = pc.and_not(pc.string_is_ascii(words), pc.match_substring(words, "<|"))
+        lowered = pc.and_not(pc.string_is_ascii(words), pc.match_substring(words, SPECIAL))
         words = pc.if_else(lowered, pc.ascii_lower(words), words)
         coded = words.dictionary_encode()
-        which, distinct = coded.indices.to_numpy(), coded.dictionary.to_pylist()
-        numbers = self._memory.numbers(distinct, np.bincount(which, minlength=len(distinct)))
-        ids, count = self._memory.gather(numbers[which])
+        which = coded.indices.to_numpy()
+        ids, count = self._distinct(coded.dictionary, np.bincount(which, minlength=len(coded.dictionary)))
+        start, count = (np.cumsum(count) - count)[which], count[which]
+        ids = gather(ids, start, count)
         borders = np.concatenate([[0], np.cumsum(count)])
         offsets = borders[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
         if end is not None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import repeat
 
 import numpy as np
 
@@ -40,15 +41,16 @@ class Memory:
         """A number for each of the distinct ``words``, which occur so many ``times``; good until the next call."""
         if len(self.known) > self._most:
             self._forget()
-        fresh = [w for w in words if w not in self.known]
-        if fresh:
+        numbers = np.fromiter(map(self.known.get, words, repeat(-1)), dtype=np.int64, count=len(words))
+        missing = np.flatnonzero(numbers < 0)
+        if len(missing):
+            fresh = [words[k] for k in missing.tolist()]
             order, ids, count = self._make(fresh)
-            names = map(fresh.__getitem__, order.tolist())
-            self.known.update(zip(names, range(len(self.known), len(self.known) + len(fresh))))
+            numbers[missing[order]] = np.arange(len(self.known), len(self.known) + len(fresh))
+            self.known.update(zip(map(fresh.__getitem__, order.tolist()), range(len(self.known), len(self.known) + len(fresh))))
             self._start = np.append(self._start, len(self._ids) + np.cumsum(count) - count)
             self._count, self._ids = np.append(self._count, count), np.append(self._ids, ids)
             self._uses = np.append(self._uses, np.zeros(len(fresh), dtype=np.int64))
-        numbers = np.fromiter(map(self.known.__getitem__, words), dtype=np.int64, count=len(words))
         self._uses[numbers] += times
         return numbers
 

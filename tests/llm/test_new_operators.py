@@ -258,6 +258,40 @@ def test_every_text_of_a_table_is_encoded_by_words_as_by_the_library():
         assert all(w.ids == np.frombuffer(g, "<u4").tolist() for w, g in zip(want, got[lo : lo + 500]))
 
 
+def test_marks_behind_words_are_encoded_as_by_the_library():
+    import random
+
+    import numpy as np
+    from tokenizers import Tokenizer
+
+    from feedmill.llm import packing
+    from tests.llm.test_operators import WORD
+
+    texts = ["gechö### a*** und,$$$ und.*** don't, foo'. foo.'s 's. 'S, a'll.", "x<|endoftext|>. <|endoftext|>, a<| b|> <|.", "", " "]
+    # Also what composes, is lowered by its neighbours, counts as white space or as a number, or lies just beside the letters.
+    spelt = ["a", "Z", "é", "É", "ß", "×", "÷", "ª", "Σ", "e\u0301", "\u0338", "ŉ", "İ", "1", "²", "'", "'s", ".", ",", "*", "<", "=", "<|", "|>", "…", " ", "  ", "\n", "\t", "\x85", "\u3000", "<|ENDOFTEXT|>", "<|startoftext|>"]
+    made = random.Random(7)
+    texts += ["".join(made.choices(spelt, k=made.randrange(1, 30))) for _ in range(20_000)]
+    library, ours = Tokenizer.from_file(WORD), packing.WordEncoder(WORD)
+    got = [x for lo in range(0, len(texts), 500) for x in ours.encode(texts[lo : lo + 500])]
+    want = library.encode_batch_fast(texts, add_special_tokens=False)
+    assert [t for t, w, g in zip(texts, want, got) if w.ids != np.frombuffer(g, "<u4").tolist()] == []
+    assert ours.encode(["", ""]) == [b"", b""] and packing.WordEncoder(WORD).encode([""]) == [b""]
+
+
+def test_a_word_is_encoded_once_whatever_marks_are_behind_it(monkeypatch):
+    from feedmill.llm import packing
+    from tests.llm.test_operators import WORD
+
+    ours, seen = packing.WordEncoder(WORD), []
+    make = ours._memory._make
+    monkeypatch.setattr(ours._memory, "_make", lambda words: seen.extend(words) or make(words))
+    ours.encode(["Maple maple, maple.*** birch###", "(maple maple; maple, birch. Birch***"])
+    ours.encode(["birch.*** maple### a1, a1."])
+    assert sorted(w for w in seen if "a" in w or "b" in w) == ["(maple", "a1,", "a1.", "birch", "maple"]
+    assert len(seen) == len(set(seen))
+
+
 def test_the_rarer_half_of_a_memory_is_forgotten():
     import numpy as np
 
