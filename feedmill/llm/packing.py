@@ -29,8 +29,8 @@ from feedmill.llm.token_counts import ship
 
 WINDOW = 4096
 END = 2
-#: Words that a worker remembers the ids of: about 200 bytes each.
-CACHE_WORDS = 600_000
+#: Words that a worker remembers the ids of: about 200 bytes each, beside the memory of the JVM.
+CACHE_WORDS = 300_000
 #: Words that the library gets as one text.
 WORDS_AT_ONCE = 1000
 WORD_END = "</w>"
