@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedmill.llm import compression, contamination, jaccard, packing, quality_rules
-from feedmill.llm.common import land
+from feedmill.llm.common import land, small_batches
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -30,17 +30,20 @@ def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
     It learns from the labels of documents that came this far.
     """
+    small_batches(spark)
     model = compression.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return compression.score(docs, model).where(F.col("predicted") == 1).select("row.*")
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by a 5-word Jaccard similarity of 0.8 or more, that with the least id stays."""
+    small_batches(spark)
     return jaccard.keep_one(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a verified passage of the benchmark go."""
+    small_batches(spark)
     return contamination.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from feedmill.session import scratch_dir
 
+#: What Arrow carries to a Python worker at once, at most: so many rows, and so many bytes but for a single longer row.
+BATCH_ROWS = 500
+BATCH_BYTES = 8 * 1024 * 1024
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -16,6 +19,17 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """From now on whole texts go to the session's Python workers in small batches.
+
+    Executor and worker each hold a batch of every task; with Spark's 10,000 rows
+    that is a task's whole input. No result depends on where batches end. Frames
+    are worked out after they are returned, so the setting stays.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def land(df: DataFrame, label: str) -> DataFrame:
     """The rows written once to the shared scratch folder, and read back.
 

@@ -23,7 +23,7 @@ from pyspark import SparkFiles, TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedmill.llm.common import land
+from feedmill.llm.common import land, small_batches
 from feedmill.llm.ragged import Made, Memory, gather
 from feedmill.llm.token_counts import ship
 
@@ -50,8 +50,8 @@ _PIECES = (
     "sequence_id bigint, offset bigint, ids binary"
 )
 _PIECE_NAMES = [column.split()[0] for column in _PIECES.split(", ")]
-#: Rows a task works on at a time.
-ROWS_AT_ONCE = 500
+#: Rows a task works on at a time: their words take many times the memory of their texts.
+ROWS_AT_ONCE = 250
 
 
 class WordEncoder:
@@ -120,6 +120,12 @@ class WordEncoder:
 
     def encode_rows(self, texts: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Offsets of the texts in the row of all their ids, each text's ``end`` behind it if there is one."""
+        made = self._rows(texts, end)
+        # Arrow keeps what it has freed; the other processes of the executor need it more.
+        pa.default_memory_pool().release_unused()
+        return made
+
+    def _rows(self, texts: pa.Array, end: int | None) -> tuple[np.ndarray, np.ndarray]:
         texts = pc.replace_substring(texts.cast(pa.large_string()), "\n", " ")
         words = (lists := pc.split_pattern(texts, " ")).flatten()
         # Words of ASCII are lowered by the tokenizer anyway; not so special strings (<|...|>), which it
@@ -201,6 +207,7 @@ def stream(docs: DataFrame, tokenizer: str, text: str = "text", end: int = END)
     The order is that of the partitions and of the rows in them, as the first
     pass wrote it; landing that pass fixes it.
     """
+    small_batches(docs.sparkSession)
     name = ship(docs.sparkSession, tokenizer)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     encoded = land(rows.mapInArrow(_encode(name, end), _STREAM), "packing-ids")

@@ -29,7 +29,7 @@ from pyspark import SparkFiles, TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedmill.llm.common import land
+from feedmill.llm.common import land, small_batches
 from feedmill.llm.files import create, read_range, rename
 from feedmill.llm.packing import END, ROWS_AT_ONCE, WINDOW, word_encoder
 from feedmill.llm.token_counts import ship
@@ -95,6 +95,7 @@ def streams(docs: DataFrame, tokenizer: str, folder: str, text: str = "text", en
     A null or empty text is the end token alone; rows that repeat are written
     each; only the text is read. An empty table makes no stream.
     """
+    small_batches(docs.sparkSession)
     name = ship(docs.sparkSession, tokenizer)
     rows = docs.select(F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     return land(rows.mapInArrow(_encode(name, folder, end, width), "part int, path string, tokens bigint"), "token-streams")

@@ -10,6 +10,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -595,6 +596,37 @@ def test_excerpts_and_short_items_are_found():
     assert found([f"t{k}" for k in range(7)]) == [(3, 7)] and found([f"t{k}" for k in range(6)]) == []
 
 
+@pytest.mark.parametrize("stage", ["quality_classifier", "near_duplicates", "decontamination", "packing"])
+def test_pipeline_hands_texts_to_python_workers_in_small_batches(spark, docs, stage, tmp_path):
+    spark.createDataFrame([(1, 1), (2, 0)], "doc_id bigint, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, "a passage")], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for kind in ("Records", "Bytes"):
+        spark.conf.unset(f"spark.sql.execution.arrow.max{kind}PerBatch")
+    dict(corpus_pipeline.STAGES)[stage](spark, docs, str(tmp_path))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], ["rows", "bytes"])
+
+    for n, length in ((3000, 10), (200, 1_000_000)):
+        texts = spark.range(0, n, 1, 1).selectExpr(f"repeat('x', {length}) AS text")
+        got = texts.mapInArrow(sizes, "rows bigint, bytes bigint").collect()
+        assert sum(r.rows for r in got) == n
+        assert max(r.rows for r in got) <= 500 and max(r.bytes for r in got) <= 12_000_000
+
+
+def test_the_word_encoder_gives_back_what_it_worked_with(monkeypatch):
+    encoder, given = packing.WordEncoder(WORD), []
+    want = encoder.encode(["a b c", ""])
+
+    class Pool:
+        def release_unused(self):
+            given.append(True)
+
+    monkeypatch.setattr(packing.pa, "default_memory_pool", Pool)
+    assert encoder.encode(["a b c", ""]) == want and given == [True]
+
+
 def test_pipeline_runs_and_keeps_the_columns(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     columns, before = docs.columns, docs.count()
